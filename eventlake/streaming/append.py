@@ -25,9 +25,16 @@ def append_to_path(
     *,
     partition_by: Sequence[str] = (),
     every: str | None = COMMIT_INTERVAL,
+    stateful: bool = False,
 ) -> StreamingQuery:
-    """Append to a Parquet folder, exactly once; duplicates in the input stay."""
-    rows = rows_near(conform(rows, schema), partition_by)
+    """Append to a Parquet folder, exactly once; duplicates in the input stay.
+
+    Rows of a ``stateful`` query are written as they come: they are aggregates, so few, and
+    adaptive execution does not apply there.
+    """
+    rows = conform(rows, schema)
+    if not stateful:
+        rows = rows_near(rows, partition_by)
     writer = _writer(rows, checkpoint, every).format("parquet").options(**PARQUET_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

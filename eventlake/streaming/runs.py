@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -51,10 +50,15 @@ def wait_for_all(queries: dict[str, StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def wait_for_any(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
+def wait_for_any(queries: dict[str, StreamingQuery], poll_seconds: int = 1) -> None:
     """Block while all run. When one stops or fails, stop the rest: one job, one fate."""
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries.values()):
+            for query in queries.values():
+                query.awaitTermination(poll_seconds)
+        for query in queries.values():
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries.values():
             query.stop()

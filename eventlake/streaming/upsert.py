@@ -129,6 +129,9 @@ class UpsertFolder:
         reader = self.spark.read.schema(CHANGES).option("basePath", root)
         return reader.parquet(*[f"{root}/batch_id={b}" for b in batch_ids])
 
+    def _accepted(self, batch_ids: list[int]) -> DataFrame:
+        return self._changes(batch_ids).where(F.col("route") == "accepted").select(*_STATE)
+
     def _done(self) -> DataFrame:
         return self._read("changes_done", CHANGES_DONE)
 
@@ -154,7 +157,7 @@ class UpsertFolder:
 
     def _merged(self, batch_ids: list[int]) -> DataFrame:
         """Last row per key of every hour that the named batches touched."""
-        fresh = self._changes(batch_ids).where(F.col("route") == "accepted").select(*_STATE)
+        fresh = self._accepted(batch_ids)
         before = self._base().join(self._touched(batch_ids), HOUR, "left_semi")
         return latest_per_key(fresh.unionByName(before), S.RIDE_KEY, ORDER)
 
@@ -164,6 +167,8 @@ class UpsertFolder:
         batch_ids = self._new_batches()
         if not batch_ids:
             state = self._base()
+        elif self._compacted_upto() < 0:
+            state = latest_per_key(self._accepted(batch_ids), S.RIDE_KEY, ORDER)
         else:
             untouched = self._base().join(self._touched(batch_ids), HOUR, "left_anti")
             state = self._merged(batch_ids).unionByName(untouched)

@@ -66,7 +66,8 @@ def _rejects(event_id: str) -> str:
 
 
 def _coerced(text: str, int_: str, long_: str, double: str, reason: str) -> str:
-    return f"""WITH {EVENTS}, t AS (SELECT *, CAST(user_id AS DOUBLE) AS u FROM e)
+    return f"""WITH {EVENTS}, t AS (
+        SELECT *, CAST(user_id AS DOUBLE) AS u, CAST({USER} || '.9' AS DOUBLE) AS u9 FROM e)
     SELECT event_id, {text} AS a, CAST({int_} AS INTEGER) AS n, CAST({long_} AS BIGINT) AS l,
            CAST({double} AS DOUBLE) AS d{reason} FROM t"""
 
@@ -86,8 +87,8 @@ COERCION_STRICT = _coerced(
     "CASE WHEN k < 15 THEN user_id WHEN k < 20 THEN -user_id WHEN k < 25 THEN 1 "
     "WHEN k < 45 THEN 0 WHEN k < 55 THEN user_id WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN 0 "
     "ELSE event_id END",
-    "CASE WHEN k < 10 THEN u WHEN k < 15 THEN u + 0.9 WHEN k < 20 THEN -(u + 0.9) "
-    "WHEN k < 25 THEN 1 WHEN k < 45 THEN 0 WHEN k < 50 THEN u + 0.9 WHEN k < 55 THEN u "
+    "CASE WHEN k < 10 THEN u WHEN k < 15 THEN u9 WHEN k < 20 THEN -u9 "
+    "WHEN k < 25 THEN 1 WHEN k < 45 THEN 0 WHEN k < 50 THEN u9 WHEN k < 55 THEN u "
     "WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN 0 ELSE event_id END",
     ", CASE WHEN k BETWEEN 55 AND 59 THEN 'out_of_range:n' END AS reject_reason",
 )
@@ -101,8 +102,8 @@ COERCION_LENIENT = _coerced(
     "CASE WHEN k < 15 THEN user_id WHEN k < 20 THEN -user_id WHEN k < 50 THEN NULL "
     "WHEN k < 55 THEN user_id WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN NULL "
     "ELSE event_id END",
-    "CASE WHEN k < 10 THEN u WHEN k < 15 THEN u + 0.9 WHEN k < 20 THEN -(u + 0.9) "
-    "WHEN k < 45 THEN NULL WHEN k < 50 THEN u + 0.9 WHEN k < 55 THEN u "
+    "CASE WHEN k < 10 THEN u WHEN k < 15 THEN u9 WHEN k < 20 THEN -u9 "
+    "WHEN k < 45 THEN NULL WHEN k < 50 THEN u9 WHEN k < 55 THEN u "
     "WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN NULL ELSE event_id END",
     "",
 )

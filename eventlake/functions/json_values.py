@@ -1,8 +1,10 @@
 """Reading one field of a parsed JSON document, with strict or lenient coercion.
 
-A document is a VARIANT column. ``probe`` reads a field as its declared type and adds the
-JSON type only where that first read does not settle the answer, so ordinary rows pay for one
-lookup per field. ``strict`` and ``lenient`` then turn the probed pair into the value:
+Most payloads hold just what is declared: text as text, numbers as numbers of the right kind.
+``declared`` reads those with one typed ``from_json``. It cannot tell a missing field from null
+or coerce anything, so every other payload is parsed again, to a VARIANT document. There
+``raw`` reads a field as its declared type, ``kind`` adds the JSON type where that read does
+not settle the answer, and ``strict`` or ``lenient`` turns the pair into the value:
 
 =====================  ==========================  =========================
 JSON value             strict                      lenient
@@ -22,9 +24,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventlake.schemas import Field
+from eventlake.schemas import Field, json_struct
 
 PLAIN = "PLAIN"
+CORRUPT = "__corrupt"
+
+# Text that may come from a JSON object, array or fraction, which strict reading writes another
+# way. (A number too large for a double comes out in quotes.)
+_NOT_RAW = r"""^(?:["{\[]|-0|-?[0-9]+[.eE])"""
+
+
+def declared(payload: Column, fields: tuple[Field, ...]) -> Column:
+    """The payload read as the declared types; ``CORRUPT`` is set where anything differs."""
+    schema = json_struct(fields).add(CORRUPT, "string")
+    options = {
+        "columnNameOfCorruptRecord": CORRUPT,
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
+    }
+    return F.from_json(payload, schema, options)
+
+
+def _starts_with_letter(text: Column) -> Column:
+    return ((text >= "a") & (text < "{")) | ((text >= "A") & (text < "["))
+
+
+def is_declared(row: Column, fields: tuple[Field, ...], complete: bool) -> Column:
+    """Whether the values read by ``declared`` can be used as they are.
+
+    With ``complete`` every field must be there; else a NULL is a NULL.
+    """
+    fine = row.isNotNull() & row[CORRUPT].isNull()
+    for field in fields:
+        value = field.of(row)
+        if complete:
+            fine = fine & value.isNotNull()
+        if field.type == "string":
+            raw_is_value = _starts_with_letter(value) | ~value.rlike(_NOT_RAW)
+            fine = fine & (raw_is_value if complete else value.isNull() | raw_is_value)
+    return F.coalesce(fine, F.lit(False))
 
 
 def json_type(document: Column, path: str) -> Column:
@@ -40,7 +78,7 @@ def kind(document: Column, field: Field, value: Column) -> Column:
     """``PLAIN`` where ``value`` can be used as it is, else the JSON type of the field."""
     if field.type == "string":
         # Text that starts with a letter is neither a number nor a container.
-        settled = ((value >= "a") & (value < "{")) | ((value >= "A") & (value < "["))
+        settled = _starts_with_letter(value)
     else:
         # 0 and 1 may have been read from a boolean.
         settled = value.isNotNull() & ~value.isin(0, 1)

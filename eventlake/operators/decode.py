@@ -1,8 +1,8 @@
 """JSON decoding: strict (bad rows set aside) and lenient (bad fields become NULL).
 
-Each document is parsed once. ``observe`` sits between the decode and any filter on its
+Each payload is read once, and once more only if it is not just what is declared. ``observe`` sits between the decode and any filter on its
 results: it counts the rows, and it keeps Catalyst from pushing such a filter below the
-parse, where it would parse the document again for every field the filter looks at.
+parse, where it would parse the payload again for every field the filter looks at.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from eventlake.functions.times import EARLIEST_MS, LATEST_MS
 from eventlake.schemas import Field
 
 REASON = "reject_reason"
-_DOC = "__doc"
+_ROW, _FINE, _DOC = "__row", "__fine", "__doc"
 
 
 def _is_object(value: Column) -> Column:
@@ -23,9 +23,13 @@ def _is_object(value: Column) -> Column:
     return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
 
 
-def _probe(df: DataFrame, fields: tuple[Field, ...], value: str) -> DataFrame:
+def _probe(df: DataFrame, fields: tuple[Field, ...], value: str, complete: bool) -> DataFrame:
+    """Stage by stage, so that each result is computed once: the typed read, whether it will
+    do, the document where it will not, and what that holds for each field."""
     doc = F.col(_DOC)
-    df = df.withColumn(_DOC, F.try_parse_json(F.col(value)))
+    df = df.withColumn(_ROW, J.declared(F.col(value), fields))
+    df = df.withColumn(_FINE, J.is_declared(F.col(_ROW), fields, complete))
+    df = df.withColumn(_DOC, F.when(~F.col(_FINE), F.try_parse_json(F.col(value))))
     df = df.withColumns({f"__v_{f.name}": J.raw(doc, f) for f in fields})
     return df.withColumns(
         {f"__k_{f.name}": J.kind(doc, f, F.col(f"__v_{f.name}")) for f in fields}
@@ -34,7 +38,9 @@ def _probe(df: DataFrame, fields: tuple[Field, ...], value: str) -> DataFrame:
 
 def _resolve(fields: tuple[Field, ...], how) -> list[Column]:
     return [
-        how(F.col(_DOC), f, F.col(f"__v_{f.name}"), F.col(f"__k_{f.name}")).alias(f.name)
+        F.when(F.col(_FINE), f.of(F.col(_ROW)))
+        .otherwise(how(F.col(_DOC), f, F.col(f"__v_{f.name}"), F.col(f"__k_{f.name}")))
+        .alias(f.name)
         for f in fields
     ]
 
@@ -72,16 +78,16 @@ def decode_strict(
             )
         ]
     reason = (
-        F.when(F.col(_DOC).isNull(), F.lit("unparseable"))
-        .when(~_is_object(F.col(value)), F.lit("not_object"))
+        F.when(~F.col(_FINE) & F.col(_DOC).isNull(), F.lit("unparseable"))
+        .when(~F.col(_FINE) & ~_is_object(F.col(value)), F.lit("not_object"))
         .otherwise(F.coalesce(*checks))
     )
     kinds = [f"__k_{f.name}" for f in fields]
     decoded = (
-        _probe(df, fields, value)
-        .select(*kept, _DOC, *kinds, *_resolve(fields, J.strict))
+        _probe(df, fields, value, complete=True)
+        .select(*kept, _FINE, _DOC, *kinds, *_resolve(fields, J.strict))
         .withColumn(REASON, reason)
-        .drop(_DOC, *kinds)
+        .drop(_FINE, _DOC, *kinds)
     )
     return decoded.observe(
         metrics,
@@ -113,8 +119,8 @@ def decode_lenient(
     Rows whose payload is no JSON object are skipped. Only ``keep`` and the declared fields
     are carried on.
     """
-    usable = F.col(_DOC).isNotNull() & _is_object(F.col(value))
-    decoded = _probe(df, fields, value).select(
+    usable = F.col(_FINE) | (F.col(_DOC).isNotNull() & _is_object(F.col(value)))
+    decoded = _probe(df, fields, value, complete=False).select(
         *keep, *_resolve(fields, J.lenient), usable.alias("__usable")
     )
     decoded = decoded.observe(

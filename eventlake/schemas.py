@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
 from pyspark.sql import types as T
 
 
@@ -23,11 +24,36 @@ class Field:
     path: str
     type: str
 
+    @property
+    def keys(self) -> list[str]:
+        return self.path.removeprefix("$.").split(".")
+
+    def of(self, row: Column) -> Column:
+        """The field in a struct read with ``json_struct``."""
+        for key in self.keys:
+            row = row[key]
+        return row
+
 
 def flat(name: str, type_: str) -> Field:
     return Field(name, f"$.{name}", type_)
 
 
+def json_struct(fields: tuple[Field, ...]) -> T.StructType:
+    """The declared fields as a struct nested like the JSON document."""
+    groups: dict[str, list[Field]] = {}
+    for f in fields:
+        groups.setdefault(f.keys[0], []).append(f)
+    struct = T.StructType()
+    for key, members in groups.items():
+        if members[0].keys == [key]:
+            struct.add(key, TYPES[members[0].type])
+        else:
+            inner = [Field(f.name, "$." + ".".join(f.keys[1:]), f.type) for f in members]
+            struct.add(key, json_struct(tuple(inner)))
+    return struct
+
+
 # Nested ride event. Only these paths are read; `timestamp` is renamed on the way.
 NESTED_RIDE = (
     flat("event_id", "string"),

@@ -27,6 +27,7 @@ from eventlake import schemas as S
 from eventlake.operators.decode import REASON, accepted
 from eventlake.operators.upsert import latest_per_key
 from eventlake.plans.events import nested_ride_rows
+from eventlake.session import SPREAD, settings
 from eventlake.streaming.runs import COMMIT_INTERVAL, with_trigger
 from eventlake.streaming.tables import PARQUET_OPTIONS, REJECTED, conform, rows_near
 
@@ -97,7 +98,8 @@ class UpsertFolder:
             F.when(~bad, F.col(HOUR)).alias(HOUR),
         )
         folder = f"{self.path}/changes/batch_id={batch_id}"
-        _overwrite(rows_near(rows, ["route", HOUR]), folder, "route", HOUR)
+        with settings(self.spark, SPREAD):
+            _overwrite(rows_near(rows, ["route", HOUR]), folder, "route", HOUR)
         self._mark_done(batch_id)
 
     def _mark_done(self, batch_id: int) -> None:
@@ -193,7 +195,8 @@ class UpsertFolder:
             return
         upto = batch_ids[-1]
         folder = f"{self.path}/base/upto={upto}"
-        _overwrite(rows_near(self._merged(batch_ids), [HOUR]), folder, HOUR)
+        with settings(self.spark, SPREAD):
+            _overwrite(rows_near(self._merged(batch_ids), [HOUR]), folder, HOUR)
         reader = self.spark.read.schema(BASE).option("basePath", f"{self.path}/base")
         hours = reader.parquet(folder).groupBy(HOUR).agg(F.count(F.lit(1)).alias("rows"))
         _overwrite(hours.coalesce(1), f"{self.path}/base_done/upto={upto}")

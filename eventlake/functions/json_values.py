@@ -1,10 +1,11 @@
 """Reading one field of a parsed JSON document, with strict or lenient coercion.
 
-Most payloads hold just what is declared: text as text, numbers as numbers of the right kind.
-``declared`` reads those with one typed ``from_json``. It cannot tell a missing field from null
-or coerce anything, so every other payload is parsed again, to a VARIANT document. There
-``raw`` reads a field as its declared type, ``kind`` adds the JSON type where that read does
-not settle the answer, and ``strict`` or ``lenient`` turns the pair into the value:
+Most payloads hold what is declared, or text that says the same. ``texts`` reads the fields of
+those as text with one ``from_json``, and ``quick`` casts them. Where that does not settle a
+field (null and missing look alike, a fraction or an object loses its form) the payload is
+parsed again, to a VARIANT document. There ``raw`` reads a field as its declared type, ``kind``
+adds the JSON type where that read does not settle the answer, and ``strict`` or ``lenient``
+turns the pair into the value:
 
 =====================  ==========================  =========================
 JSON value             strict                      lenient
@@ -34,35 +35,26 @@ CORRUPT = "__corrupt"
 _NOT_RAW = r"""^(?:["{\[]|-0|-?[0-9]+[.eE])"""
 
 
-def declared(payload: Column, fields: tuple[Field, ...]) -> Column:
-    """The payload read as the declared types; ``CORRUPT`` is set where anything differs."""
-    schema = json_struct(fields).add(CORRUPT, "string")
+def texts(payload: Column, fields: tuple[Field, ...]) -> Column:
+    """The fields of a payload as text, nested like the document. No value fails this read;
+    ``CORRUPT`` is set where the payload is no JSON object or nests differently."""
     options = {
         "columnNameOfCorruptRecord": CORRUPT,
         "allowSingleQuotes": "false",
         "allowNonNumericNumbers": "false",
     }
-    return F.from_json(payload, schema, options)
+    return F.from_json(payload, json_struct(fields).add(CORRUPT, "string"), options)
 
 
 def _starts_with_letter(text: Column) -> Column:
     return ((text >= "a") & (text < "{")) | ((text >= "A") & (text < "["))
 
 
-def is_declared(row: Column, fields: tuple[Field, ...], complete: bool) -> Column:
-    """Whether the values read by ``declared`` can be used as they are.
-
-    With ``complete`` every field must be there; else a NULL is a NULL.
-    """
-    fine = row.isNotNull() & row[CORRUPT].isNull()
-    for field in fields:
-        value = field.of(row)
-        if complete:
-            fine = fine & value.isNotNull()
-        if field.type == "string":
-            raw_is_value = _starts_with_letter(value) | ~value.rlike(_NOT_RAW)
-            fine = fine & (raw_is_value if complete else value.isNull() | raw_is_value)
-    return F.coalesce(fine, F.lit(False))
+def quick(text: Column, field: Field) -> Column:
+    """The value, if it is the same however the text was written in JSON; else NULL."""
+    if field.type != "string":
+        return text.try_cast(field.type)
+    return F.when(_starts_with_letter(text) | ~text.rlike(_NOT_RAW), text)
 
 
 def json_type(document: Column, path: str) -> Column:

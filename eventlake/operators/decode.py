@@ -2,7 +2,7 @@
 
 Each payload is read once, and once more only if it is not just what is declared. ``observe`` sits between the decode and any filter on its
 results: it counts the rows, and it keeps Catalyst from pushing such a filter below the
-parse, where it would parse the payload again for every field the filter looks at.
+read, where it would read the payload again for every field the filter looks at.
 """
 
 from __future__ import annotations
@@ -24,11 +24,16 @@ def _is_object(value: Column) -> Column:
 
 
 def _probe(df: DataFrame, fields: tuple[Field, ...], value: str, complete: bool) -> DataFrame:
-    """Stage by stage, so that each result is computed once: the typed read, whether it will
-    do, the document where it will not, and what that holds for each field."""
-    doc = F.col(_DOC)
-    df = df.withColumn(_ROW, J.declared(F.col(value), fields))
-    df = df.withColumn(_FINE, J.is_declared(F.col(_ROW), fields, complete))
+    """Stage by stage, so that each result is computed once: the fields as text, their quick
+    values, whether those will do, the document where they will not, and what that holds."""
+    row, doc = F.col(_ROW), F.col(_DOC)
+    df = df.withColumn(_ROW, J.texts(F.col(value), fields))
+    df = df.withColumns({f"__q_{f.name}": J.quick(f.of(row), f) for f in fields})
+    fine = row.isNotNull() & row[J.CORRUPT].isNull()
+    for f in fields:
+        settled = F.col(f"__q_{f.name}").isNotNull()
+        fine = fine & (settled if complete else settled | f.of(row).isNull())
+    df = df.withColumn(_FINE, fine)
     df = df.withColumn(_DOC, F.when(~F.col(_FINE), F.try_parse_json(F.col(value))))
     df = df.withColumns({f"__v_{f.name}": J.raw(doc, f) for f in fields})
     return df.withColumns(
@@ -38,7 +43,7 @@ def _probe(df: DataFrame, fields: tuple[Field, ...], value: str, complete: bool)
 
 def _resolve(fields: tuple[Field, ...], how) -> list[Column]:
     return [
-        F.when(F.col(_FINE), f.of(F.col(_ROW)))
+        F.when(F.col(_FINE), F.col(f"__q_{f.name}"))
         .otherwise(how(F.col(_DOC), f, F.col(f"__v_{f.name}"), F.col(f"__k_{f.name}")))
         .alias(f.name)
         for f in fields

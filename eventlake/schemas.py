@@ -40,14 +40,14 @@ def flat(name: str, type_: str) -> Field:
 
 
 def json_struct(fields: tuple[Field, ...]) -> T.StructType:
-    """The declared fields as a struct nested like the JSON document."""
+    """The declared fields, all as text, in a struct nested like the JSON document."""
     groups: dict[str, list[Field]] = {}
     for f in fields:
         groups.setdefault(f.keys[0], []).append(f)
     struct = T.StructType()
     for key, members in groups.items():
         if members[0].keys == [key]:
-            struct.add(key, TYPES[members[0].type])
+            struct.add(key, "string")
         else:
             inner = [Field(f.name, "$." + ".".join(f.keys[1:]), f.type) for f in members]
             struct.add(key, json_struct(tuple(inner)))

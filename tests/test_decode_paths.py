@@ -1,4 +1,4 @@
-"""The quick typed read and the document read must agree, whatever the payload."""
+"""The quick text read and the document read must agree, whatever the payload."""
 
 import json
 import random
@@ -78,10 +78,6 @@ def test_both_paths_agree(spark, monkeypatch, decode):
         return keep
 
     quick = read()
-    taken = df.select(
-        J.is_declared(J.declared(F.col("value"), FIELDS), FIELDS, decode is decode_strict).alias("q")
-    )
-    share = taken.where("q").count() / len(rows)
-    assert 0.02 < share < 0.9  # both paths are exercised
-    monkeypatch.setattr(J, "is_declared", lambda *_: F.lit(False))
+    # With no text ever settled, every row with a field in it takes the document read.
+    monkeypatch.setattr(J, "quick", lambda text, field: F.lit(None).cast(field.type))
     assert quick == read()

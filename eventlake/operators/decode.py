@@ -7,7 +7,9 @@ read, where it would read the payload again for every field the filter looks at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlake.functions import json_values as J
@@ -18,34 +20,34 @@ REASON = "reject_reason"
 _ROW, _FINE, _DOC = "__row", "__fine", "__doc"
 
 
-def _is_object(value: Column) -> Column:
+def _is_object(value: str) -> str:
     # Only asked of text that parsed, so the first character tells the type of the root.
-    return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
+    return rf"startswith(ltrim(' \t\r\n', `{value}`), '{{')"
+
+
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{text} AS `{name}`" for name, text in columns.items()])
 
 
 def _probe(df: DataFrame, fields: tuple[Field, ...], value: str, complete: bool) -> DataFrame:
     """Stage by stage, so that each result is computed once: the fields as text, their quick
     values, whether those will do, the document where they will not, and what that holds."""
-    row, doc = F.col(_ROW), F.col(_DOC)
-    df = df.withColumn(_ROW, J.texts(F.col(value), fields))
-    df = df.withColumns({f"__q_{f.name}": J.quick(f.of(row), f) for f in fields})
-    fine = row.isNotNull() & row[J.CORRUPT].isNull()
+    fine = [f"{_ROW} IS NOT NULL", f"{_ROW}.{J.CORRUPT} IS NULL"]
     for f in fields:
-        settled = F.col(f"__q_{f.name}").isNotNull()
-        fine = fine & (settled if complete else settled | f.of(row).isNull())
-    df = df.withColumn(_FINE, fine)
-    df = df.withColumn(_DOC, F.when(~F.col(_FINE), F.try_parse_json(F.col(value))))
-    df = df.withColumns({f"__v_{f.name}": J.raw(doc, f) for f in fields})
-    return df.withColumns(
-        {f"__k_{f.name}": J.kind(doc, f, F.col(f"__v_{f.name}")) for f in fields}
-    )
+        settled = f"__q_{f.name} IS NOT NULL"
+        fine.append(settled if complete else f"({settled} OR {f.of(_ROW)} IS NULL)")
+    df = _add(df, {_ROW: J.texts(f"`{value}`", fields)})
+    df = _add(df, {f"__q_{f.name}": J.quick(f.of(_ROW), f) for f in fields})
+    df = _add(df, {_FINE: " AND ".join(fine)})
+    df = _add(df, {_DOC: f"CASE WHEN NOT {_FINE} THEN try_parse_json(`{value}`) END"})
+    df = _add(df, {f"__v_{f.name}": J.raw(_DOC, f) for f in fields})
+    return _add(df, {f"__k_{f.name}": J.kind(_DOC, f, f"__v_{f.name}") for f in fields})
 
 
-def _resolve(fields: tuple[Field, ...], how) -> list[Column]:
+def _resolve(fields: tuple[Field, ...], how: Callable[[str, Field, str, str], str]) -> list[str]:
     return [
-        F.when(F.col(_FINE), F.col(f"__q_{f.name}"))
-        .otherwise(how(F.col(_DOC), f, F.col(f"__v_{f.name}"), F.col(f"__k_{f.name}")))
-        .alias(f.name)
+        f"CASE WHEN {_FINE} THEN __q_{f.name} "
+        f"ELSE {how(_DOC, f, f'__v_{f.name}', f'__k_{f.name}')} END AS `{f.name}`"
         for f in fields
     ]
 
@@ -64,36 +66,27 @@ def decode_strict(
     must lie in the range the time functions accept.
     """
     names = {f.name for f in fields}
-    kept = [c for c in df.columns if c not in names]
-    missing = [
-        F.when(
-            F.col(f.name).isNull(),
-            F.when(F.col(f"__k_{f.name}").isNull(), F.lit(f"missing:{f.name}")).otherwise(
-                F.lit(f"out_of_range:{f.name}")
-            ),
-        )
+    kept = [f"`{c}`" for c in df.columns if c not in names]
+    kinds = [f"__k_{f.name}" for f in fields]
+    checks = [
+        f"""CASE WHEN `{f.name}` IS NULL THEN
+            CASE WHEN __k_{f.name} IS NULL THEN 'missing:{f.name}'
+                 ELSE 'out_of_range:{f.name}' END END"""
         for f in fields
     ]
-    checks = missing
     if epoch_ms is not None:
-        checks = missing + [
-            F.when(
-                ~F.col(epoch_ms).between(EARLIEST_MS, LATEST_MS),
-                F.lit(f"out_of_range:{epoch_ms}"),
-            )
-        ]
-    reason = (
-        F.when(~F.col(_FINE) & F.col(_DOC).isNull(), F.lit("unparseable"))
-        .when(~F.col(_FINE) & ~_is_object(F.col(value)), F.lit("not_object"))
-        .otherwise(F.coalesce(*checks))
-    )
-    kinds = [f"__k_{f.name}" for f in fields]
-    decoded = (
-        _probe(df, fields, value, complete=True)
-        .select(*kept, _FINE, _DOC, *kinds, *_resolve(fields, J.strict))
-        .withColumn(REASON, reason)
-        .drop(_FINE, _DOC, *kinds)
+        checks.append(
+            f"CASE WHEN `{epoch_ms}` NOT BETWEEN {EARLIEST_MS} AND {LATEST_MS} "
+            f"THEN 'out_of_range:{epoch_ms}' END"
+        )
+    reason = f"""CASE
+        WHEN NOT {_FINE} AND {_DOC} IS NULL THEN 'unparseable'
+        WHEN NOT {_FINE} AND NOT {_is_object(value)} THEN 'not_object'
+        ELSE coalesce({", ".join(checks)}) END"""
+    decoded = _probe(df, fields, value, complete=True).selectExpr(
+        *kept, _FINE, _DOC, *kinds, *_resolve(fields, J.strict)
     )
+    decoded = _add(decoded, {REASON: reason}).drop(_FINE, _DOC, *kinds)
     return decoded.observe(
         metrics,
         F.count(F.lit(1)).alias("rows"),
@@ -124,9 +117,9 @@ def decode_lenient(
     Rows whose payload is no JSON object are skipped. Only ``keep`` and the declared fields
     are carried on.
     """
-    usable = F.col(_FINE) | (F.col(_DOC).isNotNull() & _is_object(F.col(value)))
-    decoded = _probe(df, fields, value, complete=False).select(
-        *keep, *_resolve(fields, J.lenient), usable.alias("__usable")
+    usable = f"{_FINE} OR ({_DOC} IS NOT NULL AND {_is_object(value)}) AS __usable"
+    decoded = _probe(df, fields, value, complete=False).selectExpr(
+        *[f"`{c}`" for c in keep], *_resolve(fields, J.lenient), usable
     )
     decoded = decoded.observe(
         metrics,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
 from pyspark.sql import types as T
 
 
@@ -28,11 +27,9 @@ class Field:
     def keys(self) -> list[str]:
         return self.path.removeprefix("$.").split(".")
 
-    def of(self, row: Column) -> Column:
-        """The field in a struct read with ``json_struct``."""
-        for key in self.keys:
-            row = row[key]
-        return row
+    def of(self, row: str) -> str:
+        """The field in a struct read with ``json_struct``, as SQL text."""
+        return ".".join([row, *(f"`{key}`" for key in self.keys)])
 
 
 def flat(name: str, type_: str) -> Field:

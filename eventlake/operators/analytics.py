@@ -17,9 +17,9 @@ def windowed_counts(
 ) -> DataFrame:
     """Count and sum per tumbling event-time window and key.
 
-    ``time`` must be a zoned timestamp. On a stream, rows later than ``lateness`` are dropped
-    and a window is emitted once the watermark has passed its end; in batch the watermark has
-    no effect. Map-side partial aggregation keeps a hot key to one row per task and window.
+    ``time`` must be a zoned timestamp. On a stream, a window is emitted once the latest time
+    seen is ``lateness`` past its end, and rows that come for it after that are dropped; in
+    batch all windows are complete. Map-side partial aggregation keeps a hot key to one row per task and window.
     """
     if df.isStreaming:
         df = df.withWatermark(time, lateness)

@@ -56,16 +56,18 @@ def _starts_with_letter(text: str) -> str:
     return f"({text} >= 'a' AND {text} < '{{' OR {text} >= 'A' AND {text} < '[')"
 
 
-def _starts_like_number(text: str) -> str:
-    return f"({text} >= '-' AND {text} < ':')"
+def _looks_like(text: str, type_: str) -> str:
+    """A cheap look before the cast: one that fails is costly, and its text is left to the
+    document anyway."""
+    number = f"{text} >= '-' AND {text} < ':'"
+    return number if type_ == "double" else f"{number} AND NOT contains({text}, '.')"
 
 
 def quick(text: str, field: Field) -> str:
     """The value, if it is the same however the text was written in JSON; else NULL."""
     if field.type == "string":
         return f"CASE WHEN {_starts_with_letter(text)} OR NOT {text} RLIKE '{_NOT_RAW}' THEN {text} END"
-    # Casting text that is no number is costly, so that is left to the document.
-    return f"CASE WHEN {_starts_like_number(text)} THEN try_cast({text} AS {field.type}) END"
+    return f"CASE WHEN {_looks_like(text, field.type)} THEN try_cast({text} AS {field.type}) END"
 
 
 def raw(document: str, field: Field) -> str:

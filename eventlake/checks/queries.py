@@ -223,6 +223,7 @@ def topic_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(topic: str, name: str):
         tables[topic] = UpsertFolder(spark, f"{work}/tables/{name}")
         messages = landed_messages(spark, f"{work}/landing/topic={topic}")
+        messages = messages.withColumn("topic", F.lit(topic))
         return tables[topic].start(messages, f"{work}/checkpoints/{name}", every=None)
 
     runs.wait_for_all(runs.fan_out(",".join(TOPICS), start))

@@ -54,6 +54,9 @@ def test_query_matches_oracle(spark, oracle, name):
     assert len(got) == len(want)
     assert got == want
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert slow not in plan
 
 
 def test_entry(spark):

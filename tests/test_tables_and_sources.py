@@ -111,3 +111,17 @@ def test_settings_are_put_back(spark):
         assert all(spark.conf.get(k) == v for k, v in SPREAD.items())
         raise RuntimeError
     assert {k: spark.conf.get(k, None) for k in SPREAD} == before
+
+
+def test_a_hot_hour_is_written_by_many_tasks_and_small_ones_by_few(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'hot' ELSE 'h' || (id % 50) END event_hour", "uuid() v"
+    )
+    advisory = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}
+    with settings(spark, advisory):
+        K.rows_near(rows, ["event_hour"]).write.partitionBy("event_hour").parquet(str(tmp_path / "t"))
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("event_hour=*")}
+    assert files.pop("event_hour=hot") > 4
+    # An hour that hashes next to the hot one is split along with it; the others are not.
+    assert len(files) == 50 and sum(n == 1 for n in files.values()) > 35
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 300_000

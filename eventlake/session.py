@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -58,14 +57,22 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    A machine-local folder is used only on a local master with no such setting.
+    Both are shared by all executors of a cluster. A warehouse on a local disk is accepted only
+    with a local master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="eventlake-")
-    return f"{root.rstrip('/')}/eventlake-{label}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    on_disk = warehouse.startswith(("file:", "/")) or ":" not in warehouse
+    if on_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{warehouse.rstrip('/')}/_eventlake"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the cluster's shared folder."""
+    return f"{shared_root(spark)}/eventlake-{label}-{uuid.uuid4().hex}"

@@ -39,10 +39,10 @@ def rows_of(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.QUERIES)
 def test_query_matches_oracle(spark, oracle, name):
     df = contract.queries()[name](spark, str(SF_DIR))
     result = oracle.execute(contract.oracle_sql()[name])

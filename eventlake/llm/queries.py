@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, simhash
+from eventlake.llm import mixing, packing, pii, quality, simhash
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# A stand-in: production runs pass a secret of their own.
+PII_SECRET = "not a secret"
 
 
 def query(run: Query) -> Query:
@@ -43,3 +45,47 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.col("size") * F.col("n_copies")).alias("taken"),
     )
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, and whether it passes."""
+    rows = quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        (quality.fold(F.col("key")) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document went."""
+    rows = packing.pieces(packing.pack(table(spark, sf_dir, "documents")))
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "window",
+        "step_id",
+    )
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced, and how many mentions were."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.replace(docs, PII_SECRET, count="n_replaced").select("doc_id", "text", "n_replaced")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from documents to packed sequences."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

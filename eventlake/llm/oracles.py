@@ -47,5 +47,19 @@ WITH sized AS (
 SELECT d.doc_id, d.size, d.source, r.source_size, r.target, CAST(d.size * d.n AS BIGINT) AS taken
 FROM drawn d JOIN best b ON d.source IS NOT DISTINCT FROM b.source AND d.seed = b.seed
 JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
+""",
+    "op3_cover_tree": """
+WITH points AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.x, d.x) AS BIGINT) AS score
+    FROM points q JOIN points d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, packing, pii, quality, simhash
+from eventlake.llm import mixing, packing, pii, quality, simhash, topk
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -89,3 +89,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth vector."""
+    rows = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.EVERY == 0)
+    return rows.select(
+        F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
+    )

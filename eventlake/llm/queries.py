@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, packing, pii, quality, simhash, topk
+from eventlake.llm import mixing, packing, pii, pq, quality, simhash, topk
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -98,3 +98,15 @@ def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
     )
+
+
+@query
+def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label."""
+    rows = pq.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return rows.select(
+        F.col("key").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.col("key").eqNullSafe(F.col("component")).alias("kept"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, packing, pii, pq, quality, simhash, topk
+from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, topk
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -110,3 +110,12 @@ def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         F.col("key").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    rows = html.main_text(table(spark, sf_dir, "pages"))
+    return rows.select(
+        F.col("key").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )

@@ -61,5 +61,43 @@ WITH points AS (
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op7_url_filter": r"""
+WITH hosted AS (
+    SELECT page_id, url,
+           nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+           regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), parts AS (
+    SELECT *, string_split(host, '.') AS labels FROM hosted
+), captures AS (
+    SELECT p.*, epoch_us(e.ts) AS t_us FROM parts p LEFT JOIN events e ON e.event_id = p.page_id
+), changes AS (
+    SELECT CASE WHEN event_type IN ('click', 'error')
+                THEN 'domain:' || array_to_string(list_slice(labels, greatest(len(labels) - 2, 1), len(labels)), '.')
+                WHEN event_type = 'view' THEN 'url:' || host || path
+                ELSE 'host:' || host END AS rule,
+           epoch_us(ts) AS t_us,
+           CASE WHEN event_type IN ('click', 'view') THEN 'block' WHEN event_type = 'purchase' THEN 'allow' END AS action
+    FROM events JOIN parts ON user_id = page_id
+), merged AS (
+    SELECT rule, t_us, max(action) AS action FROM changes WHERE rule IS NOT NULL AND t_us IS NOT NULL GROUP BY rule, t_us
+), spans AS (
+    SELECT *, coalesce(lead(t_us) OVER (PARTITION BY rule ORDER BY t_us), 4503599627370496) AS until FROM merged
+), asked AS (
+    SELECT page_id, t_us, 'url:' || host || path AS rule, 2000 AS rank FROM captures
+    UNION ALL SELECT page_id, t_us, 'host:' || host, 1000 FROM captures
+    UNION ALL SELECT page_id, t_us, 'domain:' || array_to_string(list_slice(labels, len(labels) - n + 1, len(labels)), '.'), n
+              FROM captures, range(2, 100) r(n) WHERE n <= len(labels)
+), hits AS (
+    SELECT a.page_id, a.rule, a.rank, s.action
+    FROM asked a JOIN spans s ON a.rule = s.rule AND s.t_us <= a.t_us AND a.t_us < s.until AND s.action IS NOT NULL
+), tops AS (
+    SELECT page_id, count(*) AS n_active, arg_max(rule, rank) AS rule, arg_max(action, rank) AS action
+    FROM hits GROUP BY page_id
+)
+SELECT c.page_id, CAST(coalesce(t.n_active, 0) AS BIGINT) AS n_active, t.rule, t.action,
+       coalesce(t.action = 'block', false) AS blocked
+FROM captures c LEFT JOIN tops t USING (page_id)
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, topk
+from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, topk, urls
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -119,3 +119,27 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("key").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
     )
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against dated lists.
+
+    The tables hold neither fetch times nor lists, so both come from ``events``: the event of a
+    page's number tells when it was fetched; an event of a user is a change, at its time, of the
+    rule about the page of that user's number, and the kind of event says which and how.
+    """
+    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    fetched = events.select(F.col("event_id").alias("page_id"), at.alias("at"))
+    captures = pages.select("page_id", "url").join(fetched, "page_id", "left")
+    listed = events.select(F.col("user_id").alias("page_id"), "event_type", at.alias("at"))
+    url, what = F.col("url"), F.col("event_type")
+    rule = F.when(what.isin("click", "error"), urls.domain_rule(url, 3)).when(what == "view", urls.url_rule(url))
+    rule = rule.otherwise(urls.host_rule(url))
+    action = F.when(what.isin("click", "view"), urls.BLOCK).when(what == "purchase", urls.ALLOW)
+    changes = listed.join(pages.select("page_id", "url"), "page_id")
+    changes = changes.select(rule.alias("rule"), "at", action.alias("action"))
+    rows = urls.judge(captures.select(F.col("page_id").alias("key"), "url", "at"), changes)
+    blocked = F.coalesce(F.col("action") == urls.BLOCK, F.lit(False))
+    return rows.select(F.col("key").alias("page_id"), "n_active", "rule", "action", blocked.alias("blocked"))

@@ -25,7 +25,7 @@ def reliable(df: DataFrame) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of ``df``: file sizes for a plain read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

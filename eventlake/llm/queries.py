@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, topk, urls
+from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, substrings, topk, urls
 from eventlake.llm.common import table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -143,3 +143,17 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = urls.judge(captures.select(F.col("page_id").alias("key"), "url", "at"), changes)
     blocked = F.coalesce(F.col("action") == urls.BLOCK, F.lit(False))
     return rows.select(F.col("key").alias("page_id"), "n_active", "rule", "action", blocked.alias("blocked"))
+
+
+@query
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 200 bytes cover in each document."""
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from eventlake.checks import shaping
-from eventlake.checks.queries import SEED
+from eventlake.checks.queries import REPORT_DAY, REPORT_FROM, REPORT_TO, SEED
 from eventlake.checks.shaping import ID, MS, USER
 from eventlake.operators.synthetic import DRIVERS, EVENT_TYPES, ID_PREFIX, PLATFORMS, RIDERS
 
@@ -224,12 +224,17 @@ ORACLES = {
                CAST(fare_amount AS DOUBLE) AS fare_amount, driver_rating,
                {_hour('"timestamp"')} AS event_hour FROM made""",
     "windowed_counts_batch": COUNTS,
-    "windowed_counts_stream": f"""SELECT * FROM ({COUNTS})
-        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "windowed_counts_stream": COUNTS,
     "enrich_static": ENRICHED,
     "enrich_stream": ENRICHED,
     "current_state_report": f"""{LATEST}
         SELECT event_hour, count(*) AS n_rows, min(event_timestamp) AS first_ms,
                max(event_timestamp) AS last_ms, max(fare_amount) AS top_fare
-        FROM latest GROUP BY event_hour""",
+        FROM latest WHERE event_hour BETWEEN '{REPORT_FROM}' AND '{REPORT_TO}'
+        GROUP BY event_hour""",
+    "bid_table_append": BIDS,
+    "ride_day_table_append": FLAT_RIDES,
+    "rides_of_a_day": f"SELECT * FROM ({FLAT_RIDES}) WHERE event_date = '{REPORT_DAY}'",
+    "two_topics_union": f"""WITH {EVENTS}, {_rides()}
+        SELECT event_type AS topic, {RIDE_COLUMNS} FROM rides WHERE event_type IN ('click', 'view')""",
 }

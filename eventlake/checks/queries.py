@@ -15,6 +15,7 @@ from eventlake.operators import (
     decode_lenient,
     decode_strict,
     enrich,
+    late_rows,
     latest_per_key,
     rejected,
     synthesize,
@@ -26,14 +27,12 @@ from eventlake.plans import bid_rows, flat_ride_rows, nested_ride_rows
 from eventlake.session import configure, scratch_dir
 from eventlake.sources import landed_messages
 from eventlake.streaming import pipelines, runs
-from eventlake.streaming.append import append_to_path, read_appended
+from eventlake.streaming.append import append_to_path, read_appended, read_updated, update_to_path
 from eventlake.streaming.upsert import ARRIVAL, UpsertFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The event types of the given table, here used as topics.
-TOPICS = ("click", "error", "purchase", "signup", "view")
 COERCED = (
     S.flat("a", "string"),
     S.flat("n", "int"),
@@ -41,6 +40,8 @@ COERCED = (
     S.flat("d", "double"),
 )
 SEED = 11
+LATENESS = "10 minutes"
+REPORT_FROM, REPORT_TO, REPORT_DAY = "2024-01-10-00", "2024-01-20-23", "2024-01-15"
 
 
 def query(run: Query) -> Query:
@@ -215,9 +216,11 @@ def upsert_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five topics, five queries at once, five tables; rows per table and hour."""
+    """A query and a table for each topic that landed, all at once; rows per table and hour."""
     work = scratch_dir(spark, "fanout")
     _rides(spark, sf_dir).write.partitionBy("topic").parquet(f"{work}/landing")
+    landed = spark.read.parquet(f"{work}/landing").select("topic").distinct()
+    topics = sorted(r[0] for r in landed.collect())  # as many as there are streams to start
     tables: dict[str, UpsertFolder] = {}
 
     def start(topic: str, name: str):
@@ -226,7 +229,7 @@ def topic_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = messages.withColumn("topic", F.lit(topic))
         return tables[topic].start(messages, f"{work}/checkpoints/{name}", every=None)
 
-    runs.wait_for_all(runs.fan_out(",".join(TOPICS), start))
+    runs.wait_for_all(runs.fan_out(topics, start))
     counts = None
     for topic, table in tables.items():
         per_hour = table.current().groupBy("event_hour").agg(F.count("*").alias("n_rows"))
@@ -247,7 +250,7 @@ def _land(spark: SparkSession, sf_dir: str, label: str, payload: str) -> tuple[s
 
 @query
 def bid_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bids appended by a stream and read back."""
+    """Bids appended by a stream and read back."""
     work, messages = _land(spark, sf_dir, "bids", shaping.BID)
     pipelines.append_bids(
         messages, f"{work}/table", f"{work}/checkpoint", every=None
@@ -258,7 +261,7 @@ def bid_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def append_partitioned_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rides appended by day, and the whole table read back."""
+    """Rides appended by day, and the whole table read back."""
     work, messages = _land(spark, sf_dir, "days", shaping.FLAT_RIDE)
     pipelines.append_rides_by_day(
         messages, f"{work}/table", f"{work}/checkpoint", every=None
@@ -266,6 +269,38 @@ def append_partitioned_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_appended(spark, S.RIDE_DAY_TABLE, f"{work}/table")
 
 
+def _table_append(spark: SparkSession, sf_dir: str, label: str, payload: str, start) -> DataFrame:
+    """Two runs, the second one a restart that finds new files and the table already there."""
+    work = scratch_dir(spark, label)
+    rows = shaping.messages(shaping.events(spark, sf_dir), payload)
+    name = f"eventlake_{label}.t{work.rpartition('-')[2]}"
+    for half in (0, 1):
+        rows.where(F.col("offset") % 2 == half).write.mode("append").parquet(f"{work}/landing")
+        start(
+            landed_messages(spark, f"{work}/landing"),
+            name,
+            f"{work}/checkpoint",
+            provider="parquet",
+            location=f"{work}/table",
+            every=None,
+        ).awaitTermination()
+    return spark.table(name)
+
+
+@query
+def bid_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bids appended to a catalog table by two runs."""
+    out = _table_append(spark, sf_dir, "bids", shaping.BID, pipelines.append_bids_to_table)
+    return out.withColumn("is_stamped", F.col("ingestion_time").isNotNull()).drop("ingestion_time")
+
+
+@query
+def ride_day_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides appended to a catalog table by day, by two runs."""
+    start = pipelines.append_rides_by_day_to_table
+    return _table_append(spark, sf_dir, "days", shaping.FLAT_RIDE, start)
+
+
 # -- producers, re-aimed -------------------------------------------------------------------
 
 
@@ -316,7 +351,7 @@ def _counted(events: DataFrame, **options) -> DataFrame:
     # Values have two decimals: summed as decimals, the total does not depend on the order.
     amount = F.col("value").cast("decimal(18,2)")
     timed = events.select(F.col("ts").cast("timestamp").alias("at"), "event_type", "value")
-    return windowed_counts(timed, "at", "event_type", amount, **options)
+    return windowed_counts(timed, "at", "event_type", amount, lateness=LATENESS, **options)
 
 
 def _plain(counts: DataFrame) -> DataFrame:
@@ -330,9 +365,9 @@ def _plain(counts: DataFrame) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given table as a stream."""
+    """The given table as a stream; the pattern matches a file and a folder of part files."""
     schema = shaping.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
 
 
 @query
@@ -343,13 +378,14 @@ def windowed_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def windowed_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 on a stream: the windows the watermark has closed."""
+    """T1 on a stream: all windows, those still open at the end too."""
     work = scratch_dir(spark, "windows")
     counts = _plain(_counted(_event_stream(spark, sf_dir)))
-    append_to_path(
-        counts, counts.schema, f"{work}/out", f"{work}/checkpoint", every=None, stateful=True
-    ).awaitTermination()
-    return read_appended(spark, counts.schema, f"{work}/out")
+    query = update_to_path(counts, counts.schema, f"{work}/out", f"{work}/checkpoint", every=None)
+    query.awaitTermination()
+    if late := late_rows(query):
+        raise RuntimeError(f"{late} rows came too late for their window")
+    return read_updated(spark, counts.schema, f"{work}/out", ["window_start", "event_type"])
 
 
 def _with_customer(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
@@ -379,15 +415,30 @@ def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def current_state_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An ad-hoc query over the current state, through SQL on a view."""
-    good = accepted(nested_ride_rows(_upserts(spark, sf_dir)))
-    latest_per_key(good, S.RIDE_KEY, ARRIVAL).createOrReplaceTempView("eventlake_rides")
+    """An ad-hoc query over a range of hours of an upsert table, through SQL on a view."""
+    current = _upsert_stream(spark, sf_dir, "report", compact_after=1).current()
+    current.createOrReplaceTempView("eventlake_rides")
     return spark.sql(
-        """
+        f"""
         SELECT event_hour, count(*) AS n_rows, min(event_timestamp) AS first_ms,
                max(event_timestamp) AS last_ms, max(fare_amount) AS top_fare
-        FROM eventlake_rides GROUP BY event_hour
+        FROM eventlake_rides
+        WHERE event_hour BETWEEN '{REPORT_FROM}' AND '{REPORT_TO}' GROUP BY event_hour
         """
     )
 
 
+@query
+def rides_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the table by day; no other day's files are read."""
+    return append_partitioned_readback(spark, sf_dir).where(F.col("event_date") == REPORT_DAY)
+
+
+@query
+def two_topics_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics decoded apart, each filtered before its decode, and put together."""
+    parts = [
+        accepted(nested_ride_rows(_rides(spark, sf_dir).where(F.col("topic") == topic)))
+        for topic in ("click", "view")
+    ]
+    return parts[0].unionByName(parts[1]).select("topic", *S.RIDE_TABLE.fieldNames())

@@ -1,6 +1,6 @@
 """DataFrame to DataFrame operators, the same for batch and streaming input."""
 
-from eventlake.operators.analytics import enrich, windowed_counts
+from eventlake.operators.analytics import enrich, late_rows, windowed_counts
 from eventlake.operators.decode import accepted, decode_lenient, decode_strict, rejected
 from eventlake.operators.messages import to_messages
 from eventlake.operators.synthetic import synthesize, synthetic_events
@@ -11,6 +11,7 @@ __all__ = [
     "decode_lenient",
     "decode_strict",
     "enrich",
+    "late_rows",
     "latest_per_key",
     "rejected",
     "synthesize",

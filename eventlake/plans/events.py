@@ -17,7 +17,7 @@ from eventlake.operators.decode import decode_lenient, decode_strict
 
 
 def nested_ride_rows(
-    messages: DataFrame, metrics: str | Observation = "nested_rides"
+    messages: DataFrame, metrics: str | Observation | None = None
 ) -> DataFrame:
     """Strict decode plus ``event_hour``; ``reject_reason`` is NULL on good rows."""
     decoded = decode_strict(
@@ -26,7 +26,7 @@ def nested_ride_rows(
     return decoded.withColumn("event_hour", hour_bucket(F.col("event_timestamp")))
 
 
-def bid_rows(messages: DataFrame, metrics: str | Observation = "bids") -> DataFrame:
+def bid_rows(messages: DataFrame, metrics: str | Observation | None = None) -> DataFrame:
     """Lenient decode, event time and ingestion time in milliseconds."""
     bids = decode_lenient(messages, S.BID, metrics=metrics)
     return bids.select(
@@ -41,7 +41,7 @@ def bid_rows(messages: DataFrame, metrics: str | Observation = "bids") -> DataFr
 
 
 def flat_ride_rows(
-    messages: DataFrame, metrics: str | Observation = "flat_rides"
+    messages: DataFrame, metrics: str | Observation | None = None
 ) -> DataFrame:
     """Lenient decode plus ``event_date``."""
     rides = decode_lenient(messages, S.FLAT_RIDE, metrics=metrics)

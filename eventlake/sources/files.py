@@ -16,7 +16,8 @@ def _reader(spark: SparkSession, max_files: int | None):
 def text_messages(
     spark: SparkSession, path: str, topic: str, *, max_files: int | None = None
 ) -> DataFrame:
-    """Text files, one payload per line. Lines carry no order, so append sinks only."""
+    """Text files, one payload per line. Lines carry no order of arrival: an upsert
+    needs one from the payload."""
     lines = _reader(spark, max_files).text(path)
     return lines.select("value", F.lit(topic).alias("topic"))
 

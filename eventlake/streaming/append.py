@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from eventlake.operators.upsert import latest_per_key
 from eventlake.streaming.runs import COMMIT_INTERVAL, with_trigger
 from eventlake.streaming.tables import PARQUET_OPTIONS, conform, rows_near
 
@@ -55,6 +56,29 @@ def append_to_table(
     return _writer(rows, checkpoint, every).toTable(table)
 
 
+def update_to_path(
+    rows: DataFrame, schema: T.StructType, path: str, checkpoint: str, *, every: str | None = COMMIT_INTERVAL
+) -> StreamingQuery:
+    """Write what each micro-batch has changed, open windows too, for ``read_updated``.
+
+    A replayed batch overwrites its own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        conform(batch, schema).write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(
+            f"{path}/batch_id={batch_id}"
+        )
+
+    writer = rows.writeStream.outputMode("update").foreachBatch(write)
+    return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
+
+
+def read_updated(spark: SparkSession, schema: T.StructType, path: str, keys: Sequence[str]) -> DataFrame:
+    """The latest state of each key that ``update_to_path`` wrote."""
+    versions = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return latest_per_key(spark.read.schema(versions).parquet(path), keys, ["batch_id"]).drop("batch_id")
+
+
 def read_appended(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """Read an append folder. The declared schema keeps day strings from becoming dates."""
     return spark.read.schema(schema).parquet(path)

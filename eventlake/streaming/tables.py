@@ -47,8 +47,13 @@ def _quoted(entries: dict[str, str]) -> str:
     return ", ".join(f"'{k}' = '{v}'" for k, v in entries.items())
 
 
-def create_table_sql(name: str, spec: TableSpec, provider: str = "iceberg") -> str:
-    """The DDL. Parquet tables cannot enforce NOT NULL, so only Iceberg is told of it."""
+def create_table_sql(
+    name: str, spec: TableSpec, provider: str = "iceberg", location: str | None = None
+) -> str:
+    """The DDL. Parquet tables cannot enforce NOT NULL, so only Iceberg is told of it.
+
+    Without a ``location`` the catalog chooses one, for Parquet in its warehouse folder.
+    """
     iceberg = provider == "iceberg"
     columns = ", ".join(
         f"{f.name} {f.dataType.simpleString()}"
@@ -60,6 +65,8 @@ def create_table_sql(name: str, spec: TableSpec, provider: str = "iceberg") -> s
         parts.append(f"OPTIONS ({_quoted(PARQUET_OPTIONS)})")
     if spec.partition_by:
         parts.append(f"PARTITIONED BY ({', '.join(spec.partition_by)})")
+    if location:
+        parts.append(f"LOCATION '{location}'")
     if iceberg:
         parts.append(f"TBLPROPERTIES ({_quoted(spec.properties)})")
     return " ".join(parts)
@@ -71,9 +78,13 @@ def create_namespace(spark: SparkSession, namespace: str) -> None:
 
 
 def create_table(
-    spark: SparkSession, name: str, spec: TableSpec, provider: str = "iceberg"
+    spark: SparkSession,
+    name: str,
+    spec: TableSpec,
+    provider: str = "iceberg",
+    location: str | None = None,
 ) -> None:
-    spark.sql(create_table_sql(name, spec, provider))
+    spark.sql(create_table_sql(name, spec, provider, location))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -3,10 +3,13 @@
 **Parquet folder** (:class:`UpsertFolder`). Parquet has no row-level update, so each
 micro-batch adds its rows as changes and the reader keeps the last one of each key:
 
-- ``changes/batch_id=N/route=accepted|rejected/event_hour=H``: one batch, good and bad rows
-  in a single write. A replayed batch overwrites its own folder, so nothing doubles.
-- ``changes_done/batch_id=N``: rows per route and hour, written after the batch, so readers
-  never see half of one.
+- ``owner``: the id of the stream that writes here. Another stream, also one with a new
+  checkpoint for the same topic, would count its batches from 0 again and is refused.
+- ``changes/batch_id=N/route=accepted|rejected``: one batch, good and bad rows in a single
+  write, in files of a fair size whatever number of hours they hold. Rows are sorted by hour,
+  so that a filter on it skips row groups and pages.
+- ``changes_done/batch_id=N``: the batch's row counts, written after it. Readers see no batch
+  without it, and a batch that has it is never written again.
 - ``base/upto=N/event_hour=H`` and ``base_done/upto=N``: the hours that ``compact`` rewrote,
   one row per key, and the list of those hours.
 
@@ -16,6 +19,7 @@ merged.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,30 +28,27 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from eventlake import schemas as S
-from eventlake.operators.decode import REASON, accepted
+from eventlake.operators.decode import MESSAGE, REASON, accepted
 from eventlake.operators.upsert import latest_per_key
 from eventlake.plans.events import nested_ride_rows
-from eventlake.session import SPREAD, settings
+from eventlake.session import SETTINGS, SPREAD
 from eventlake.streaming.runs import COMMIT_INTERVAL, with_trigger
 from eventlake.streaming.tables import PARQUET_OPTIONS, REJECTED, conform, rows_near
 
 ARRIVAL = ("timestamp", "partition", "offset")
-ORDER = ("batch_id", *ARRIVAL)
 HOUR = "event_hour"
 
 _ROW = [f for f in S.RIDE_TABLE.fields if f.name != HOUR]
-_ARRIVAL = [f for f in S.MESSAGE.fields if f.name in ARRIVAL]
 _BATCH = T.StructField("batch_id", T.LongType())
 _UPTO = T.StructField("upto", T.LongType())
 _ROUTE = T.StructField("route", T.StringType())
 _HOUR = T.StructField(HOUR, T.StringType())
 _N = T.StructField("rows", T.LongType())
+_BAD = T.StructField("rejected", T.LongType())
 
-CHANGES = T.StructType(_ROW + _ARRIVAL + S.REJECTS.fields + [_BATCH, _ROUTE, _HOUR])
-CHANGES_DONE = T.StructType([_ROUTE, _HOUR, _N, _BATCH])
-BASE = T.StructType(_ROW + _ARRIVAL + [_BATCH, _UPTO, _HOUR])
+OWNER = T.StructType([T.StructField("stream_id", T.StringType())])
+CHANGES_DONE = T.StructType([_N, _BAD, _BATCH])
 BASE_DONE = T.StructType([_HOUR, _N, _UPTO])
-_STATE = [f.name for f in _ROW] + [HOUR, *ORDER]
 
 
 def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -62,17 +63,41 @@ def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
 
 @dataclass(frozen=True)
 class UpsertFolder:
-    """An upsert table of nested ride events in a folder. One checkpoint for its whole life."""
+    """An upsert table of nested ride events in a folder, written by one stream for its whole life.
+
+    ``order`` says which of two rows of a key is the later one, within a batch: columns of the
+    messages or of the table. Between batches the later batch wins.
+    """
 
     spark: SparkSession
     path: str
+    order: tuple[str, ...] = ARRIVAL
+
+    @property
+    def _extra(self) -> list[T.StructField]:
+        """Order columns that the table itself does not have."""
+        kinds = {f.name: f for f in S.MESSAGE.fields}
+        return [kinds[name] for name in self.order if name not in S.RIDE_TABLE.fieldNames()]
+
+    @property
+    def _state(self) -> list[str]:
+        return [f.name for f in _ROW] + [HOUR, *[f.name for f in self._extra], "batch_id"]
+
+    @property
+    def _changes_schema(self) -> T.StructType:
+        return T.StructType(_ROW + [_HOUR] + self._extra + S.REJECTS.fields + [_BATCH, _ROUTE])
+
+    @property
+    def _base_schema(self) -> T.StructType:
+        return T.StructType(_ROW + self._extra + [_BATCH, _UPTO, _HOUR])
 
     def create(self) -> UpsertFolder:
         """K1: lay out the table if it is absent."""
         layout = {
-            "changes": (CHANGES, ("batch_id", "route", HOUR)),
+            "owner": (OWNER, ()),
+            "changes": (self._changes_schema, ("batch_id", "route")),
             "changes_done": (CHANGES_DONE, ("batch_id",)),
-            "base": (BASE, ("upto", HOUR)),
+            "base": (self._base_schema, ("upto", HOUR)),
             "base_done": (BASE_DONE, ("upto",)),
         }
         for name, (schema, partition_by) in layout.items():
@@ -85,37 +110,63 @@ class UpsertFolder:
 
     # -- writing ---------------------------------------------------------------------------
 
+    def claim(self, stream_id: str) -> None:
+        """Bind the table to a stream; raise if it belongs to another one.
+
+        Of two that claim an empty table at once both see two owners, and both stop.
+        """
+        if not self._read("owner", OWNER).head(1):
+            mine = self.spark.createDataFrame([(stream_id,)], OWNER)
+            mine.write.mode("append").parquet(f"{self.path}/owner")
+        owners = {r[0] for r in self._read("owner", OWNER).distinct().head(2)}
+        if owners != {stream_id}:
+            raise ValueError(
+                f"{self.path} is written by stream {sorted(owners - {stream_id})[0]}, not {stream_id}: "
+                "a table has one checkpoint for its whole life; start a new table or go on with that one"
+            )
+
     def write_batch(self, decoded: DataFrame, batch_id: int) -> None:
-        """One micro-batch of strictly decoded rows, good and bad, in one pass."""
+        """One micro-batch of strictly decoded rows, good and bad, in one pass.
+
+        A batch that was finished before is left alone: readers may be at it. One that was begun
+        only is written anew.
+        """
+        if self._done().where(F.col("batch_id") == batch_id).head(1):
+            return
         bad = F.col(REASON).isNotNull()
         rows = decoded.select(
             *[f.name for f in _ROW],
-            *ARRIVAL,
-            F.when(bad, F.col("topic")).alias("topic"),
-            F.when(bad, F.col("value")).alias("value"),
+            F.when(~bad, F.col(HOUR)).alias(HOUR),
+            *[f.name for f in self._extra],
+            F.col(f"{MESSAGE}.topic").alias("topic"),
+            F.col(f"{MESSAGE}.value").alias("value"),
             REASON,
             F.when(bad, "rejected").otherwise("accepted").alias("route"),
-            F.when(~bad, F.col(HOUR)).alias(HOUR),
         )
+        near = rows_near(rows, ["route", HOUR]).sortWithinPartitions("route", HOUR, "event_id")
         folder = f"{self.path}/changes/batch_id={batch_id}"
-        with settings(self.spark, SPREAD):
-            _overwrite(rows_near(rows, ["route", HOUR]), folder, "route", HOUR)
-        self._mark_done(batch_id)
-
-    def _mark_done(self, batch_id: int) -> None:
-        written = self._changes([batch_id]).groupBy("route", HOUR).agg(
-            F.count(F.lit(1)).alias("rows")
+        _overwrite(near, folder, "route")
+        # Row counts come from the footers: no column is read.
+        written = self.spark.read.schema(self._changes_schema).parquet(folder)
+        done = written.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("route") == "rejected").alias("rejected")
         )
-        _overwrite(written.coalesce(1), f"{self.path}/changes_done/batch_id={batch_id}")
+        _overwrite(done.coalesce(1), f"{self.path}/changes_done/batch_id={batch_id}")
 
     def start(
         self, messages: DataFrame, checkpoint: str, *, every: str | None = COMMIT_INTERVAL
     ) -> StreamingQuery:
         """Decode a stream of messages and upsert it here."""
         self.create()
+        claimed = []
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            table = UpsertFolder(batch.sparkSession, self.path)
+            table = UpsertFolder(batch.sparkSession, self.path, self.order)
+            if not claimed:
+                # The checkpoint tells its stream's id, the same one after every restart.
+                metadata = table.spark.read.text(f"{checkpoint}/metadata", wholetext=True).head()[0]
+                table.claim(json.loads(metadata)["id"])
+                claimed.append(True)
             table.write_batch(nested_ride_rows(batch), batch_id)
 
         writer = messages.writeStream.foreachBatch(write)
@@ -123,64 +174,54 @@ class UpsertFolder:
 
     # -- reading ---------------------------------------------------------------------------
 
-    def _changes(self, batch_ids: list[int]) -> DataFrame:
-        """Only the named batches, so that old ones are not even listed."""
-        root = f"{self.path}/changes"
-        if not batch_ids:
-            return self.spark.createDataFrame([], CHANGES)
-        reader = self.spark.read.schema(CHANGES).option("basePath", root)
-        return reader.parquet(*[f"{root}/batch_id={b}" for b in batch_ids])
-
-    def _accepted(self, batch_ids: list[int]) -> DataFrame:
-        return self._changes(batch_ids).where(F.col("route") == "accepted").select(*_STATE)
-
     def _done(self) -> DataFrame:
         return self._read("changes_done", CHANGES_DONE)
 
-    def _compacted_upto(self) -> int:
-        latest = self._read("base_done", BASE_DONE).agg(F.max("upto")).first()[0]
+    def _compacted(self) -> DataFrame:
+        return self._read("base_done", BASE_DONE)
+
+    def _upto(self) -> int:
+        latest = self._compacted().agg(F.max("upto")).first()[0]
         return -1 if latest is None else latest
 
-    def _new_batches(self) -> list[int]:
-        """Batches since the last compaction; as many as there were commits, not rows."""
-        new = self._done().where(F.col("batch_id") > self._compacted_upto())
-        return sorted(r[0] for r in new.select("batch_id").distinct().collect())
+    def _changes(self, route: str, after: int) -> DataFrame:
+        """Rows of finished batches later than ``after``; other batches' files are not opened."""
+        later = F.col("batch_id") > after
+        rows = self._read("changes", self._changes_schema).where(later & (F.col("route") == route))
+        return rows.join(self._done().where(later).select("batch_id"), "batch_id", "left_semi")
 
-    def _base(self) -> DataFrame:
+    def _base(self, upto: int) -> DataFrame:
         """The newest rewrite of each compacted hour."""
-        newest = self._read("base_done", BASE_DONE).groupBy(HOUR).agg(F.max("upto").alias("upto"))
+        newest = self._compacted().groupBy(HOUR).agg(F.max("upto").alias("upto"))
         # The plain bound keeps the files of an unfinished compaction out of the scan.
-        base = self._read("base", BASE).where(F.col("upto") <= self._compacted_upto())
-        return base.join(newest, [HOUR, "upto"], "left_semi").select(*_STATE)
+        base = self._read("base", self._base_schema).where(F.col("upto") <= upto)
+        return base.join(newest, [HOUR, "upto"], "left_semi").select(*self._state)
 
-    def _touched(self, batch_ids: list[int]) -> DataFrame:
-        done = self._done().where(F.col("route") == "accepted")
-        return done.where(F.col("batch_id").isin(batch_ids)).select(HOUR).distinct()
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, S.RIDE_KEY, ("batch_id", *self.order))
 
-    def _merged(self, batch_ids: list[int]) -> DataFrame:
-        """Last row per key of every hour that the named batches touched."""
-        fresh = self._accepted(batch_ids)
-        before = self._base().join(self._touched(batch_ids), HOUR, "left_semi")
-        return latest_per_key(fresh.unionByName(before), S.RIDE_KEY, ORDER)
+    def _merged(self, upto: int) -> tuple[DataFrame, DataFrame]:
+        """(last row per key of every hour touched after ``upto``, those hours)."""
+        fresh = self._changes("accepted", upto).select(*self._state)
+        if upto < 0:
+            return self._latest(fresh), fresh.select(HOUR).distinct()
+        touched = fresh.select(HOUR).distinct()
+        before = self._base(upto).join(touched, HOUR, "left_semi")
+        return self._latest(fresh.unionByName(before)), touched
 
     def current(self) -> DataFrame:
         """The table as it stands. Hours not touched since the last compaction hold one
-        row per key already and are read as they are; only touched hours are shuffled."""
-        batch_ids = self._new_batches()
-        if not batch_ids:
-            state = self._base()
-        elif self._compacted_upto() < 0:
-            state = latest_per_key(self._accepted(batch_ids), S.RIDE_KEY, ORDER)
-        else:
-            untouched = self._base().join(self._touched(batch_ids), HOUR, "left_anti")
-            state = self._merged(batch_ids).unionByName(untouched)
+        row per key already and are read as they are; only touched hours are shuffled. A filter
+        on ``event_hour`` reaches every scan."""
+        upto = self._upto()
+        state, touched = self._merged(upto)
+        if upto >= 0:
+            state = state.unionByName(self._base(upto).join(touched, HOUR, "left_anti"))
         return state.select(*S.RIDE_TABLE.fieldNames())
 
     def rejects(self) -> DataFrame:
         """Payloads that were refused, and why."""
-        done = self._done().select("batch_id").distinct()
-        bad = self._read("changes", CHANGES).where(F.col("route") == "rejected")
-        return bad.join(done, "batch_id", "left_semi").select(*S.REJECTS.fieldNames())
+        return self._changes("rejected", -1).select(*S.REJECTS.fieldNames())
 
     # -- upkeep ----------------------------------------------------------------------------
 
@@ -188,18 +229,28 @@ class UpsertFolder:
         """Rewrite the hours touched since the last compaction, one row per key.
 
         Nothing is deleted and the old files stay readable until ``base_done`` names the new
-        ones, so a lost run can simply be repeated. Not to be run twice at the same time.
+        ones, so a lost run can simply be repeated. Not to be run twice at the same time. The
+        settings of the caller's session stay as they are.
         """
-        batch_ids = self._new_batches()
-        if not batch_ids:
+        own = UpsertFolder(self.spark.newSession(), self.path, self.order)
+        for key, value in {**SETTINGS, **SPREAD}.items():
+            own.spark.conf.set(key, value)
+        own._compact()
+
+    def _compact(self) -> None:
+        before = self._upto()
+        last = self._done().where(F.col("batch_id") > before).agg(F.max("batch_id")).first()[0]
+        if last is None:
             return
-        upto = batch_ids[-1]
-        folder = f"{self.path}/base/upto={upto}"
-        with settings(self.spark, SPREAD):
-            _overwrite(rows_near(self._merged(batch_ids), [HOUR]), folder, HOUR)
-        reader = self.spark.read.schema(BASE).option("basePath", f"{self.path}/base")
+        folder = f"{self.path}/base/upto={last}"
+        # Batches that finish meanwhile are left to the next compaction.
+        fresh = self._changes("accepted", before).where(F.col("batch_id") <= last).select(*self._state)
+        touched = fresh.select(HOUR).distinct()
+        merged = self._latest(fresh.unionByName(self._base(before).join(touched, HOUR, "left_semi")))
+        _overwrite(rows_near(merged, [HOUR]), folder, HOUR)
+        reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
         hours = reader.parquet(folder).groupBy(HOUR).agg(F.count(F.lit(1)).alias("rows"))
-        _overwrite(hours.coalesce(1), f"{self.path}/base_done/upto={upto}")
+        _overwrite(hours.coalesce(1), f"{self.path}/base_done/upto={last}")
 
 
 def _same(table: str, columns: tuple[str, ...]) -> Column:
@@ -218,27 +269,30 @@ def upsert_to_table(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = nested_ride_rows(batch).persist()
-        good = latest_per_key(accepted(decoded), S.RIDE_KEY, ARRIVAL)
-        (
-            conform(good, S.RIDE_TABLE)
-            .alias("s")
-            .mergeInto(table, _same(table, S.RIDE_KEY))
-            .whenMatched()
-            .updateAll()
-            .whenNotMatched()
-            .insertAll()
-            .merge()
-        )
-        bad = decoded.where(F.col(REASON).isNotNull())
-        (
-            conform(bad, REJECTED.schema)
-            .alias("s")
-            .mergeInto(rejects_table, _same(rejects_table, ("topic", "partition", "offset")))
-            .whenNotMatched()
-            .insertAll()
-            .merge()
-        )
-        decoded.unpersist()
+        try:
+            good = latest_per_key(accepted(decoded), S.RIDE_KEY, ARRIVAL)
+            (
+                conform(good, S.RIDE_TABLE)
+                .alias("s")
+                .mergeInto(table, _same(table, S.RIDE_KEY))
+                .whenMatched()
+                .updateAll()
+                .whenNotMatched()
+                .insertAll()
+                .merge()
+            )
+            bad = decoded.where(F.col(REASON).isNotNull())
+            bad = bad.select(f"{MESSAGE}.topic", f"{MESSAGE}.value", REASON, "partition", "offset")
+            (
+                conform(bad, REJECTED.schema)
+                .alias("s")
+                .mergeInto(rejects_table, _same(rejects_table, ("topic", "partition", "offset")))
+                .whenNotMatched()
+                .insertAll()
+                .merge()
+            )
+        finally:
+            decoded.unpersist()
 
     writer = messages.writeStream.foreachBatch(write)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()

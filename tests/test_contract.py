@@ -42,9 +42,28 @@ def test_every_query_has_an_oracle():
     assert contract.QUERIES.keys() == contract.ORACLES.keys()
 
 
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The tables as folders of four part files each."""
+    root = tmp_path_factory.mktemp("folders")
+    for name in ("events", "customer", "pages"):
+        table = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+        table.repartition(4).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
 @pytest.mark.parametrize("name", contract.QUERIES)
 def test_query_matches_oracle(spark, oracle, name):
-    df = contract.queries()[name](spark, str(SF_DIR))
+    check(spark, oracle, name, SF_DIR)
+
+
+@pytest.mark.parametrize("name", contract.QUERIES)
+def test_query_matches_oracle_on_folders(spark, oracle, folders, name):
+    check(spark, oracle, name, folders)
+
+
+def check(spark, oracle, name, sf_dir):
+    df = contract.queries()[name](spark, str(sf_dir))
     result = oracle.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     expected = result.fetchall()

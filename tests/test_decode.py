@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import accepted, decode_lenient, decode_strict, rejected
 from eventlake.plans import nested_ride_rows
+from eventlake import schemas as S
 from eventlake.schemas import Field, flat
 
 MISSING_A = "missing:a"
@@ -173,3 +174,33 @@ def test_counts_are_observed(spark):
         "overwrite"
     ).save()
     assert seen.get == {"rows": 3, "rejected": 2}
+
+
+def test_fields_named_like_message_columns(spark):
+    fields = tuple(S.flat(n, "string") for n in ("value", "topic", "timestamp", "a"))
+    good = '{"value":null,"topic":"t2","timestamp":"now","a":"x"}'
+    rows = spark.createDataFrame([(good, "t"), ('{"value":"v","a":"y"}', "t"), ("junk", "t")], "value string, topic string")
+    decoded = decode_strict(rows, fields)
+    got = [tuple(r) for r in accepted(decoded).select("value", "topic", "timestamp", "a").collect()]
+    assert got == [("null", "t2", "now", "x")]
+    assert sorted(tuple(r) for r in rejected(decoded).collect()) == [
+        ("t", "junk", "unparseable"),
+        ("t", '{"value":"v","a":"y"}', "missing:topic"),
+    ]
+
+
+def test_two_decodes_in_one_query(spark):
+    rows = spark.createDataFrame([('{"a":"x"}', "t")], "value string, topic string")
+    fields = (S.flat("a", "string"),)
+    both = accepted(decode_strict(rows, fields)).unionByName(accepted(decode_strict(rows, fields)))
+    assert both.count() == 2
+    assert decode_lenient(rows, fields).unionByName(decode_lenient(rows, fields)).count() == 2
+
+
+def test_filters_on_the_message_reach_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame([('{"a":"x"}', "t", 0)], "value string, topic string, partition int")
+    rows.write.parquet(str(tmp_path / "m"))
+    part = spark.read.parquet(str(tmp_path / "m")).where("topic = 't' AND partition = 0")
+    plan = decode_strict(part, (S.flat("a", "string"),))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(topic,t)" in pushed and "EqualTo(partition,0)" in pushed

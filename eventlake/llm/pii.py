@@ -35,6 +35,8 @@ KINDS = {
     "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME_WORD}(?: {_NAME_WORD}){{0,2}}",
 }
 MENTION = "|".join(f"(?:{p})" for p in KINDS.values())
+# Every mention has a digit or an @ or begins like this: one cheap look spares most texts the rest.
+HINT = rf"[0-9@]|AKIA|ASIA|{_TITLE}"
 _DIGITS = ("ssn", "card", "phone")
 # Letters that stand in for a letter of the same script, and syllables for names.
 _ALPHABETS = {
@@ -270,7 +272,7 @@ def replace(docs: DataFrame, secret: str, text: str = "text", count: str | None
     ``count``: a column to add, the number of mentions replaced.
     """
     body, names = F.col(text), [f"`{c}`" for c in docs.columns]
-    has = F.coalesce(body.rlike(MENTION), F.lit(False))
+    has = F.coalesce(body.rlike(HINT) & body.rlike(MENTION), F.lit(False))
     hit = docs.where(has).withColumn("_pii_id", F.sha2(body, 256))
     seen = hit.select("_pii_id", F.explode(F.regexp_extract_all(body, F.lit(MENTION), F.lit(0))).alias("mention"))
     seen = reliable(seen.distinct())

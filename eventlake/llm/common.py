@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it, whatever its folder."""
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, *paths) if p)
+    return spark
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder, so that lost executors cost no recomputation."""
     sc = df.sparkSession.sparkContext

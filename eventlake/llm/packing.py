@@ -68,7 +68,7 @@ class Packer:
     """
 
     def __init__(self, windows: tuple[int, ...] = WINDOWS, pool: int = POOL, step: int = STEP):
-        self.windows, self.pool, self.step = windows, pool, step
+        self.windows, self.pool, self.rest, self.step = windows, pool, min(REST, pool // 4), step
         self.rests: list[tuple[int, int, Piece]] = []
         self.held = self.arrivals = 0
         self.done: list[tuple[int, list[Piece]]] = []
@@ -81,7 +81,7 @@ class Packer:
         if at < len(ids):
             self._put(Piece(key, at, ids[at:].copy(), len(ids)))
         if self.held >= self.pool:
-            self._pack(REST)
+            self._pack(self.rest)
 
     def finish(self) -> None:
         self._pack(0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, substrings, topk, urls
-from eventlake.llm.common import table
+from eventlake.llm.common import importable, table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,12 @@ PII_SECRET = "not a secret"
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+    def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(importable(spark), sf_dir)
+
+    ready.__doc__ = run.__doc__
+    QUERIES[run.__name__] = ready
+    return ready
 
 
 @query

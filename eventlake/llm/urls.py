@@ -122,7 +122,7 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     once. Neither a host with most captures nor a rule with most changes multiplies with the other,
     as a join on the rule alone would.
     """
-    captures = reliable(captures.withColumn("row", F.monotonically_increasing_id()))
+    captures = reliable(captures.withColumn("_row", F.monotonically_increasing_id()))
     spans = intervals(changes).where((F.col("since") >= 0) & (F.col("since") < F.col("until")))
     spans = reliable(spans.where(F.col("until") <= _END))
     cut = spans.select("rule", "action", F.explode(_blocks(F.col("since"), F.col("until"))).alias("b"))
@@ -131,16 +131,16 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
         F.struct(F.lit(n).alias("level"), _floor(F.col("at"), 1 << (_BASE_BITS * n)).alias("block"))
         for n in range(_LEVELS)
     ])
-    asked = captures.select("row", "at", F.explode(rules_of(F.col("url"))).alias("r")).where("at IS NOT NULL")
+    asked = captures.select(F.col("_row").alias("row"), "at", F.explode(rules_of(F.col("url"))).alias("r")).where("at IS NOT NULL")
     asked = asked.select("row", "at", "r.rule", "r.rank").join(spans.select("rule").distinct(), "rule", "left_semi")
     asked = asked.select("row", "rule", "rank", F.explode(levels).alias("b")).select("row", "rule", "rank", "b.level", "b.block")
     hits = asked.join(cut, ["rule", "level", "block"])
     verdicts = hits.groupBy("row").agg(
         F.count("*").alias("n_active"), F.max(F.struct("rank", "rule", "action")).alias("top")
     )
-    rows = captures.join(verdicts, "row", "left")
+    rows = captures.join(verdicts.withColumnRenamed("row", "_row"), "_row", "left")
     return rows.select(
-        *[F.col(f"`{c}`") for c in captures.columns if c != "row"],
+        *[F.col(f"`{c}`") for c in captures.columns if c != "_row"],
         F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"),
         F.col("top.rule").alias("rule"),
         F.col("top.action").alias("action"),

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import input_bytes, reliable
+from eventlake.llm.common import reliable
 from eventlake.session import scratch_dir
 
 WINDOW = 200
@@ -23,8 +23,8 @@ COVER = (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)
 # Bytes of text that are worked on at a time, and of a part, the unit of the lookups.
 BATCH = 1 << 20
 PART = 8 << 20
-# Bytes of files for each bucket of the working table; hashes for each task of a lookup.
-BUCKET_BYTES = 8 << 20
+# Bytes of text for each bucket of the working table; hashes for each task of a lookup.
+BUCKET_BYTES = 13 << 20
 NAMES_PER_TASK = 1 << 20
 _PART_BITS = 20
 
@@ -292,17 +292,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     if window <= PERIOD:
         raise ValueError(f"window must be more than {PERIOD}")
     spark = docs.sparkSession
-    name, size = f"eventlake_{uuid.uuid4().hex}", input_bytes(docs)
+    name = f"eventlake_{uuid.uuid4().hex}"
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = int(max(8, min(100_000, size // BUCKET_BYTES)))
     writer = _batched(docs, key, text).write.format("parquet").option("compression", "zstd")
     writer = writer.option("path", scratch_dir(spark, "substrings")).bucketBy(buckets, "part")
     writer.saveAsTable(name)
     blobs = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # an external one: its files stay, and nothing is left in the catalog
-    # About a tenth of all places are sampled; what repeats is less than that.
+    # A window's first places are sampled at nearly a tenth of all; what repeats is less than that.
     tasks, told = [], None
     for i in range(3):
-        tasks.append(int(max(16, size // 8 // NAMES_PER_TASK)))
+        tasks.append(int(max(16, size // 13 // NAMES_PER_TASK)))
         answers = reliable(_lookup(_ask(blobs, told, list(tasks), window), i))
         told = answers if told is None else told.union(answers)
 

@@ -36,9 +36,14 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of ``df``: file sizes for a plain read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def least_hashed(rows: DataFrame, n: int, key: str) -> DataFrame:
+    """About ``n`` rows, those whose keys have the least hashes: the same ones each time.
+
+    Only hashes are sorted, so whole rows stay where they are; rows that share a key are all in.
+    """
+    least = rows.select(F.xxhash64(key).alias("h")).orderBy("h").limit(n)
+    top = least.agg(F.max("h")).first()[0]
+    return rows.where(F.lit(False)) if top is None else rows.where(F.xxhash64(key) <= top)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.llm.common import least_hashed
+
 # The model is trained on at most so many pages, those whose keys have the least hashes.
 TRAIN_PAGES = 2000
 THRESHOLD = 0.5
@@ -314,7 +316,7 @@ def page_counts(page: str | None) -> Counter:
 
 def fit(pages: DataFrame, key: str = "page_id", page: str = "html", most: int = TRAIN_PAGES) -> Model:
     """Train on the labelled ones of a bounded, fixed sample of pages. The counts are few hundred."""
-    few = pages.orderBy(F.xxhash64(key), key).limit(most).select(F.col(page).alias("page"))
+    few = least_hashed(pages, most, key).select(F.col(page).alias("page"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()

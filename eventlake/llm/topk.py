@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import reliable
-from eventlake.llm.vectors import distances, farthest_first, finite, matrix, sample
+from eventlake.llm.common import least_hashed, reliable
+from eventlake.llm.vectors import distances, farthest_first, finite, matrix
 
 K = 5
 EVERY = 50
@@ -150,7 +150,8 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vec: str =
 
 def _search(rows: DataFrame, dim: int, n: int, n_queries: int, k: int, schema: str) -> DataFrame:
     spark = rows.sparkSession
-    few = rows.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("key", "x").collect()
+    few = least_hashed(rows, SAMPLE, "key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
+    few = few.select("key", "x").collect()
     keys, near = np.array([r["key"] for r in few]), np.array([r["x"] for r in few], dtype=np.int64).reshape(len(few), dim)
     net = farthest_first(near.astype(float), MAX_NODES)
     centers = near[net].astype(float)

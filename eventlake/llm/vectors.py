@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.llm.common import least_hashed
+
 
 def finite(vec: Column) -> Column:
     """True for a vector that is there and holds neither NULL nor NaN nor an infinity."""
@@ -25,7 +27,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, dim: int, dtype: type = np.float6
 
 def sample(rows: DataFrame, n: int, vec: str, key: str) -> list[list[float]]:
     """At most ``n`` vectors, those whose keys have the least hashes: the same ones each time."""
-    least = rows.orderBy(F.xxhash64(key), key).limit(n)
+    least = least_hashed(rows, n, key).orderBy(F.xxhash64(key), key).limit(n)
     return [r[vec] for r in least.select(vec).collect()]
 
 

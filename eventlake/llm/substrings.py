@@ -28,6 +28,10 @@ BUCKET_BYTES = 13 << 20
 NAMES_PER_TASK = 1 << 20
 _PART_BITS = 20
 
+# What travels of a hash in each round. A name of round 0 only makes a place worth a closer look,
+# so a few that agree by chance (one in thousands, at any size of the input, since the number of
+# tasks grows with it) cost little; what decides is told apart by all 64 bits.
+_WIDTHS = ("<u4", "<u8", "<u8")
 _FIRST, _REPEATED = 1, 2
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -218,7 +222,7 @@ def _ask(blobs: DataFrame, told: DataFrame | None, tasks: list[int], window: int
         cuts = np.flatnonzero(np.diff(ask.task)) + 1
         for task, part in zip(np.split(ask.task, cuts), np.split(ask.hashes, cuts), strict=True):
             if len(part):
-                yield {"task": int(task[0]), "part": row["part"], "batch": row["batch"], "hashes": part.astype("<u8").tobytes()}
+                yield {"task": int(task[0]), "part": row["part"], "batch": row["batch"], "hashes": part.astype(_WIDTHS[rounds]).tobytes()}
 
     def arrow(rows: Iterator[dict]) -> pa.Table:
         kinds = [("task", pa.int64()), ("part", pa.int64()), ("batch", pa.int32()), ("hashes", pa.binary())]
@@ -252,7 +256,7 @@ def _lookup(asked: DataFrame, this: int) -> DataFrame:
     def match(table: pa.Table) -> pa.Table:
         table = table.sort_by([("part", "ascending"), ("batch", "ascending")])
         blobs = table["hashes"].to_pylist()
-        hashes = np.frombuffer(b"".join(blobs), dtype="<u8")
+        hashes = np.frombuffer(b"".join(blobs), dtype=_WIDTHS[this])
         order = np.argsort(hashes, kind="stable")
         ranked = hashes[order]
         same = ranked[1:] == ranked[:-1]
@@ -260,7 +264,7 @@ def _lookup(asked: DataFrame, this: int) -> DataFrame:
         flags[order[1:][same]] = _REPEATED
         flags[order[:-1][same]] |= np.uint8(_REPEATED)
         flags[order[np.concatenate(([True], ~same))]] |= np.uint8(_FIRST)
-        cuts = np.cumsum([len(b) // 8 for b in blobs])[:-1]
+        cuts = np.cumsum([len(b) // hashes.itemsize for b in blobs])[:-1]
         return pa.table(
             {
                 "part": table["part"],
@@ -287,7 +291,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     where they are: only hashes travel, and the answers to them. That is a difference-cover
     suffix sort cut off at ``window`` bytes: names of the sampled places' prefixes by sorting, names
     of longer ones from those that repeat, then the merge of the remaining suffixes with adjacent
-    equal prefixes. Hashes have 64 bits, and those compared agree in bytes of the strings, too.
+    equal prefixes. What decides are
+    hashes of 64 bits, compared only among strings that agree in some of their bytes, too.
     """
     if window <= PERIOD:
         raise ValueError(f"window must be more than {PERIOD}")

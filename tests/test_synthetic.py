@@ -9,12 +9,14 @@ from eventlake.operators import (
     accepted,
     decode_lenient,
     enrich,
+    late_rows,
     synthetic_events,
     to_messages,
     windowed_counts,
 )
 from eventlake.operators.synthetic import EVENT_TYPES, ID_PREFIX, PLATFORMS
 from eventlake.plans import nested_ride_rows
+from eventlake.streaming.append import read_updated, update_to_path
 
 START = 1704067200000
 
@@ -88,19 +90,38 @@ def test_late_rows_are_dropped_and_open_windows_held_back(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(schema).parquet(path)
-        counts = windowed_counts(stream, "at", "k", F.col("v"))
-        counts.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
-            availableNow=True
-        ).start(str(tmp_path / "out")).awaitTermination()
+        counts = windowed_counts(stream, "at", "k", F.col("v"), lateness="10 minutes")
+        writer = counts.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+        query = writer.trigger(availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        late.append(late_rows(query))
         out = spark.read.parquet(str(tmp_path / "out")).collect()
         return sorted((str(r["window_start"])[11:16], r["n_events"], r["total"]) for r in out)
 
+    late = []
+
     add("2024-01-01 00:10:00", "2024-01-01 00:50:00", "2024-01-01 01:05:00")
     assert run() == []  # 00:55 is as far as the watermark got
     add("2024-01-01 00:20:00", "2024-01-01 01:20:00")  # the first window is still open
     assert run() == [("00:00", 3, 4.5)]
     add("2024-01-01 00:30:00", "2024-01-01 02:30:00")
     assert run() == [("00:00", 3, 4.5), ("01:00", 2, 3.0)]
+    assert late == [0, 0, 1]
+
+
+def test_open_windows_come_in_update_mode(spark, tmp_path):
+    path, keys = str(tmp_path / "in"), ["window_start", "k"]
+    for n in (1, 2):
+        rows = spark.createDataFrame([("2024-01-01 00:10:00",)] * n, "t string")
+        rows = rows.selectExpr("cast(t as timestamp) at", "'a' k", "1.5d v")
+        rows.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        counts = windowed_counts(stream, "at", "k", F.col("v"), lateness=None)
+        update_to_path(
+            counts, counts.schema, str(tmp_path / "out"), str(tmp_path / "c"), every=None
+        ).awaitTermination()
+        out = read_updated(spark, counts.schema, str(tmp_path / "out"), keys).collect()
+        assert [(r["k"], r["n_events"]) for r in out] == [("a", 1 if n == 1 else 3)]
 
 
 def test_enrich_leaves_the_join_to_the_size(spark):

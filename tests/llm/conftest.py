@@ -1,13 +1,7 @@
-import os
-import pathlib
-
 import pytest
 
 from eventlake.llm.common import importable
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session", autouse=True)
 def workers(spark):
     importable(spark)
@@ -24,6 +18,3 @@ def docs(spark):
         )
 
     return build
-
-
-assert os.path.isdir(SF) or pathlib.Path(SF).exists()

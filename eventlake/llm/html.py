@@ -80,6 +80,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     """
     elements, blocks = [Element("html", -1, "none", False)], []
     stack: list[tuple[str, int]] = [("html", 0)]  # (tag, its block element)
+    opened: Counter = Counter(["html"])  # what is on the stack, so that it is seldom searched
     run: list[tuple[str, bool]] = []
     hidden = links = at = 0
 
@@ -97,6 +98,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     def pop(to: int) -> None:
         nonlocal hidden, links
         for tag, _ in stack[to:]:
+            opened[tag] -= 1
             hidden -= tag in HIDDEN
             links -= tag == "a"
         if any(tag in BLOCK for tag, _ in stack[to:]):
@@ -104,6 +106,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         del stack[to:]
 
     def innermost(tags: set[str] | frozenset[str], stop: set[str] | frozenset[str] = frozenset()) -> int:
+        if not any(opened[tag] for tag in tags):
+            return 0
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in tags:
                 return i
@@ -135,7 +139,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        if tag in ("html", "body") and opened[tag]:
             continue
         if tag in BLOCK:
             if (i := innermost({"p"}, {"table", "td", "th"})) and tag not in ("html", "body"):
@@ -147,8 +151,10 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             hint = "none" if tag in ("html", "body", "main") else hint_of(attributes)
             elements.append(Element(tag, above, hint, elements[above].fenced or telling(elements[above])))
             stack.append((tag, len(elements) - 1))
+            opened[tag] += 1
         else:
             stack.append((tag, stack[-1][1]))
+            opened[tag] += 1
             hidden += tag in HIDDEN
             links += tag == "a"
     close_run()

@@ -239,6 +239,7 @@ def test_surrogates_keep_form_and_identity(spark, docs):
         "",
         None,
         "joe.smith@mail.example.com " * 5000,
+        "a" * 50_000 + " x@y" + ".z" * 20_000 + " " + "1-" * 20_000 + "(" * 20_000,
     ]
     rows = [(i, t, "s") for i, t in enumerate(texts)] + [(0, texts[0], "s")]
     out = pii.replace(docs(rows), "k", count="n")

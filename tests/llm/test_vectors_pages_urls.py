@@ -117,6 +117,12 @@ def test_page_text_of_another_template():
     assert text == "Title\n\nA long text of many words, with a link in it. And so on."
 
 
+def test_deep_and_broken_pages_take_no_long_time():
+    model = html.Model({k: 300 * n for k, n in html.page_counts(PAGE).items()})
+    for part in ("<div>", "<span>", "<li>", "</p>", "<b><p>", '<a href="', "<table><tr><td>", "&amp;<"):
+        model.extract(part * 20_000 + "end")
+
+
 def test_quality_is_learned_from_other_folds_only(spark):
     rng = random.Random(2)
     good = ["".join(rng.choice("abcdefgh ") for _ in range(200)) for _ in range(300)]

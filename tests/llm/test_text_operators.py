@@ -104,6 +104,59 @@ def test_links_hold_whatever_counts_as_a_hot_block(spark, monkeypatch, hot):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def word_sets(texts):
+    out = []
+    for t in texts:
+        words = (t or "").lower().split()
+        out.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    return out
+
+
+def near_components(texts):
+    """Least index reachable, by comparing all pairs of 5-word sets."""
+    sets = word_sets(texts)
+
+    def near(a, b):
+        return a == b or 9 * len(a & b) >= 4 * (len(a) + len(b)) > 0
+
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and near(sets[i], sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def near_texts():
+    rng = random.Random(8)
+    texts = [None, "", "a b c d e f g h", "a b c d e f g h i", "a b c d e f g"]
+    for g in range(40):
+        words = prose(700 + g, rng.choice([12, 100, 300, 1000])).split()
+        texts.append(" ".join(words))
+        for _ in range(5):  # near copies on either side of 0.8
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), rng.randrange(1, max(2, len(copy) // 30))):
+                copy[at] = f"new{rng.randrange(10**9)}"
+            texts.append(" ".join(copy))
+    chain = prose(5, 200).split()
+    for i in range(30):  # each near the next one, the ends far apart
+        texts.append(" ".join(chain))
+        chain = chain[8:] + prose(9000 + i, 8).split()
+    return texts
+
+
+def test_the_near_duplicate_stage_finds_what_brute_force_finds(spark, docs):
+    import corpus_pipeline
+
+    texts = near_texts()
+    root = near_components(texts)
+    assert 50 < len(set(root)) < 200
+    kept = corpus_pipeline.near_duplicates(spark, docs([(i, t, "s") for i, t in enumerate(texts)]).repartition(4), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+    assert corpus_pipeline.near_duplicates(spark, docs([]), "").count() == 0
+
+
 def test_tokens_are_those_of_the_vocabulary():
     path = public_tokenizers.path("word_bpe_49k.json")
     ours, theirs = word_bpe(path), Tokenizer.from_file(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import pathlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.session import shared_root
@@ -46,6 +46,25 @@ def least_hashed(rows: DataFrame, n: int, key: str) -> DataFrame:
     return rows.where(F.lit(False)) if top is None else rows.where(F.xxhash64(key) <= top)
 
 
+def text_hash(text: str) -> Column:
+    """What tells rows of one key apart: a hash of the text."""
+    return F.xxhash64(F.col(text))
+
+
+def least_rows(docs: DataFrame, named: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with one row of each component: the least key's, NULL the last, then the least hash's.
+
+    ``named`` has (key, hash, component), ``hash`` that of ``text_hash``. Rows are told apart by key
+    and text, so equal or NULL keys with other texts are rows of their own.
+    """
+    order = F.struct(F.col("key").isNull().alias("last"), "key", "hash")
+    least = named.groupBy("component").agg(F.min(order).alias("r"))
+    least = least.select(F.col("r.key").alias("_key"), F.col("r.hash").alias("_hash"))
+    hashed = docs.withColumn("_text_hash", text_hash(text))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash"))
+    return hashed.join(least, same, "left_semi").dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: (node, component), component the least node.
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import components, reliable
+from eventlake.llm.common import components, least_rows, reliable, text_hash
 
 SHINGLE = 3
 DISTANCE = 2
@@ -128,11 +128,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", distance:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: that of the least key.
+    """``docs`` with one row of each near-duplicate component: that of the least key, NULL the last.
 
-    Of several rows with that key the one with the least text stays, ties to any equal row.
+    Keys only order rows: other texts with the same or no key are documents of their own. Of several
+    rows with the least key the one of the least text hash stays, of equal ones any.
     """
-    first = classes(docs, key, text).where(F.col("key").eqNullSafe(F.col("component")))
-    first = first.select(F.col("key").alias("_keep")).distinct()
-    kept = docs.join(first, F.col(key).eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates([key])
+    rows = docs.select(F.col(key).cast("long").alias("key"), text_hash(text).alias("hash"), F.col(text).alias("text"))
+    named = classes(rows, "hash", "text").select(F.col("key").alias("hash"), "component").distinct()
+    return least_rows(docs, rows.select("key", "hash").distinct().join(named, "hash"), key, text)

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from eventlake.llm import mixing, packing, pii, simhash, substrings
+from eventlake.llm import mixing, packing, pii, similar, simhash, substrings
 from eventlake.llm.queries import QUERIES
 from eventlake.llm.tokens import word_bpe
 
@@ -157,6 +157,16 @@ def test_the_near_duplicate_stage_finds_what_brute_force_finds(spark, docs):
     assert corpus_pipeline.near_duplicates(spark, docs([]), "").count() == 0
 
 
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, similar.keep_one])
+def test_documents_without_a_key_of_their_own_stay(docs, keep_one):
+    a, b, c, d = (prose(800 + i, 60) for i in range(4))
+    rows = [(None, a, "s"), (None, b, "s"), (None, c, "s"), (None, c, "t"), (7, a + " ", "s"), (7, d, "s"), (7, d, "s"), (8, d, "s"), (3, "", "s"), (3, c, "s")]
+    kept = keep_one(docs(rows))
+    assert kept.columns == docs([]).columns
+    got = sorted((r["doc_id"] or 0, r["text"].strip()) for r in kept.collect())
+    assert got == sorted([(0, b), (3, c), (3, ""), (7, a), (7, d)])
+
+
 def test_tokens_are_those_of_the_vocabulary():
     path = public_tokenizers.path("word_bpe_49k.json")
     ours, theirs = word_bpe(path), Tokenizer.from_file(path)

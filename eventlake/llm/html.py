@@ -30,6 +30,10 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dd dt figcaption td th
 BLOCK = BOUNDARY | MAIN | PROSE | frozenset(
     "html body div section ul ol dl table thead tbody tfoot tr figure fieldset details summary center hgroup search".split()
 )
+# What may stand in a head; anything else that starts ends it, as do words.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title html head".split())
+# Elements of another language; in it, and for them, a tag that ends in '/>' is closed at once.
+FOREIGN = frozenset("svg math".split())
 # An element that starts ends an open one of these, unless one of the others lies between.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -118,6 +122,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     while at < len(page):
         found = _TAG.search(page, at)
         text = page[at : found.start() if found else len(page)]
+        if stack[-1][0] == "head" and text.strip():
+            pop(len(stack) - 1)
         if text and not hidden:
             run.append((text, links > 0))
         if not found:
@@ -131,6 +137,12 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             if i := innermost({tag}):
                 pop(i)
             continue
+        if opened["head"] and tag not in HEAD and (i := innermost({"head"}, {"template"})):
+            pop(i)
+        if tag == "head" and (opened["head"] or opened["body"]):
+            continue
+        if attributes.endswith("/") and (tag in FOREIGN or (tag not in BLOCK and any(opened[t] for t in FOREIGN))):
+            continue
         if tag in VOID:
             if not hidden:
                 run.append((" ", False))

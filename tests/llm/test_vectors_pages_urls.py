@@ -117,6 +117,24 @@ def test_page_text_of_another_template():
     assert text == "Title\n\nA long text of many words, with a link in it. And so on."
 
 
+def test_a_head_without_an_end_and_closed_drawings_hide_nothing():
+    model = html.Model({k: 300 * n for k, n in html.page_counts(PAGE).items()})
+    body = "<article><p>Some words, in a long sentence. And more.</p></article>"
+    want = "Some words, in a long sentence. And more."
+    for page in (
+        f"<html><head><title>T</title><meta charset=x><body>{body}</html>",
+        f"<html><head><title>T</title>{body}</html>",
+        f"<html><head><title>T</title></head><body>{body}</html>",
+        f'<body><article><svg width="1"/><math/>{body}</article>',
+        f"<body><article><svg><title/><path/></svg>{body}</article>",
+        f"<head><body>{body}<head>",
+    ):
+        assert model.extract(page) == want, page
+    bare = html.parse("<head><title>T</title> Words of the body")[1]
+    assert [t for _, t in bare] == ["Words of the body"]
+    assert html.parse("<body><p>a<svg><text>no</text></svg>b")[1][0][1] == "ab"
+
+
 def test_deep_and_broken_pages_take_no_long_time():
     model = html.Model({k: 300 * n for k, n in html.page_counts(PAGE).items()})
     for part in ("<div>", "<span>", "<li>", "</p>", "<b><p>", '<a href="', "<table><tr><td>", "&amp;<"):

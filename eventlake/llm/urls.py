@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from eventlake.llm.common import reliable
 
 BLOCK, ALLOW = "block", "allow"
-# Times are microseconds since 1970; an entry that is never taken off ends here, in the year 2112.
-_END = 1 << 52
+# Times are microseconds from 1970, before it negative; an entry that is never taken off ends here.
+_END = (1 << 63) - 1
 _BASE_BITS = 4
-_LEVELS = 52 // _BASE_BITS
+# Enough for every long.
+_LEVELS = 64 // _BASE_BITS
 # Host and path of an absolute URL.
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
@@ -80,10 +81,11 @@ def _blocks(since: Column, until: Column) -> Column:
         size, up = 1 << (_BASE_BITS * level), 1 << (_BASE_BITS * (level + 1))
         low, high = _ceil(since, size), _floor(until, size)
         if level + 1 < _LEVELS:
-            inner_low, inner_high = _ceil(since, up) * 16, _floor(until, up) * 16
+            filled = _ceil(since, up) < _floor(until, up)
+            # Beyond every long if nothing is filled, so without an overflow check.
+            inner_low, inner_high = (F.shiftleft(x, _BASE_BITS) for x in (_ceil(since, up), _floor(until, up)))
         else:
-            inner_low, inner_high = high, high
-        filled = inner_low < inner_high
+            filled, inner_low, inner_high = F.lit(False), high, high
         left = _span(low, F.when(filled, inner_low).otherwise(high))
         right = _span(F.when(filled, inner_high).otherwise(high), high)
         for span in (left, right):
@@ -100,7 +102,7 @@ def _floor(x: Column, size: int) -> Column:
 
 
 def _ceil(x: Column, size: int) -> Column:
-    return F.shiftright(x + F.lit(size - 1), size.bit_length() - 1)
+    return _floor(x, size) + (x.bitwiseAND(F.lit(size - 1)) != 0).cast("long")
 
 
 def _span(low: Column, high: Column) -> Column:
@@ -115,7 +117,8 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     Adds ``n_active``, the number of rules in force for the URL at its fetch time, and ``rule`` and
     ``action`` of the most specific one: its page, its host, or the longest domain. Without any,
     without a host or without a time, that is 0 and NULL. Repeated captures are judged each. Empty
-    tables are fine.
+    tables are fine. Times may be any long, also before 1970 or a far one that stands for never; only
+    at the greatest long nothing is in force.
 
     The as-of join is an equi-join: an interval is cut into aligned blocks of 16^level microseconds,
     at most 30 of each level, and a time lies in one block of each level, so a pair meets exactly
@@ -123,8 +126,7 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     as a join on the rule alone would.
     """
     captures = reliable(captures.withColumn("_row", F.monotonically_increasing_id()))
-    spans = intervals(changes).where((F.col("since") >= 0) & (F.col("since") < F.col("until")))
-    spans = reliable(spans.where(F.col("until") <= _END))
+    spans = reliable(intervals(changes).where(F.col("since") < F.col("until")))
     cut = spans.select("rule", "action", F.explode(_blocks(F.col("since"), F.col("until"))).alias("b"))
     cut = cut.select("rule", "action", "b.level", "b.block")
     levels = F.array(*[

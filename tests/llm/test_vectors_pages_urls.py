@@ -195,6 +195,25 @@ def test_lists_are_read_as_of_the_fetch(spark):
     assert {r["n_active"] for r in urls.judge(spark.createDataFrame(captures, "key long, url string, at long"), empty).collect()} == {0}
 
 
+def test_lists_hold_dates_of_any_year(spark):
+    never, before, now = 253_402_300_799_000_000, -62_135_596_800_000_000, 1_600_000_000_000_000
+    low, high = -(1 << 63), (1 << 63) - 1
+    changes = [("host:a.org", now, "block"), ("host:a.org", never, None)]
+    changes += [("host:b.org", before, "allow"), ("host:b.org", -5, "block"), ("host:b.org", now, None)]
+    changes += [("host:c.org", low, "block"), ("host:c.org", high - 3, "allow"), ("host:d.org", high, "block")]
+    times = [low, low + 1, before - 1, before, -6, -5, -1, 0, 7, now - 1, now, 5 * 10**15, never - 1, never, high - 4, high - 3, high - 1]
+    captures = [(i, f"https://{h}.org/", t) for i, (h, t) in enumerate((h, t) for h in "abcd" for t in times)]
+    got = urls.judge(
+        spark.createDataFrame(captures, "key long, url string, at long"),
+        spark.createDataFrame(changes, "rule string, at long, action string"),
+    ).collect()
+    assert len(got) == len(captures)
+    for r in got:
+        past = [(t, a) for rule, t, a in changes if rule == "host:" + r["url"][8:-1] and t <= r["at"]]
+        want = max(past, key=lambda p: p[0])[1] if past else None
+        assert (r["n_active"], r["action"]) == (int(want is not None), want), r
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
     import corpus_pipeline
 

@@ -21,8 +21,6 @@ PER_LIST = 1024
 CODE_WORDS = 64
 SUBSPACE = 8
 ROUNDS = 8
-# A vector visits every list whose centre is at most this much farther than its nearest one.
-SLACK = 0.06
 # Rows of a list, and of the vectors that visit it, that one task compares at a time.
 BLOCK = 2048
 
@@ -101,6 +99,21 @@ def linked_pairs(index: Index, at: int, q: np.ndarray, x: np.ndarray, codes: np.
     return left[good], right[good]
 
 
+def visited(far: np.ndarray, radii: np.ndarray, gaps: np.ndarray, threshold: float) -> np.ndarray:
+    """Which lists may hold a vector that links: a matrix of rows by lists, False for none that may.
+
+    ``far`` holds distances to the centres, ``radii`` how far each list's rows are from its centre
+    at most, ``gaps`` the distances between centres. A linked vector is within ``reach``, so a list
+    is passed by only if its ball is farther than that, or if its cell is: rows of a list are
+    nearer to its centre than to this vector's nearest one, so they lie behind the plane halfway.
+    """
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    own, least = far.argmin(1), far.min(1)
+    ball = far - radii <= reach
+    cell = far**2 - least[:, None] ** 2 <= 2 * reach * gaps[own] + 1e-6
+    return ball & cell
+
+
 def forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the pairs: as many components, and less pairs than nodes."""
     parent: dict[int, int] = {}
@@ -135,10 +148,11 @@ def near_duplicates(
     its copies, and repeated rows with each other. A NULL key is never a component unless it stands
     alone. An empty table gives no row.
 
-    A pair is found if either vector's list is among those that the other visits. What visits a
-    list is compared with it in blocks of at most ``BLOCK`` rows of either side, so a list that
-    holds most vectors is many tasks. A block gives each row a count and a spanning forest of its
-    links: their number grows with the rows, not with the pairs.
+    A vector visits every list that may hold one linked with it, see ``visited``, so no pair is
+    lost, however many lists there are. What visits a list is compared with it in blocks of at most
+    ``BLOCK`` rows of either side, so a list that holds most vectors is many tasks. A block gives
+    each row a count and a spanning forest of its links: their number grows with the rows, not with
+    the pairs.
     """
     value = F.transform(F.col(vec), lambda v: v.cast("double"))
     good = finite(F.col(vec)) & F.exists(value, lambda v: v != 0) & F.col(label).isNotNull()
@@ -179,7 +193,6 @@ def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
             x = unit(matrix(batch.column(2), dim))
             far = distances(x, index.centers)
             own = far.argmin(1)
-            visits = [np.flatnonzero(f <= f.min() + SLACK).astype(np.int32) for f in far]
             codes, error = index.encode(index.residuals(x, own))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -188,7 +201,7 @@ def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
                     "x": pa.array(list(x), pa.list_(pa.float64())),
                     "label": batch.column(3),
                     "list": pa.array(own.astype(np.int32)),
-                    "visits": pa.array(visits, pa.list_(pa.int32())),
+                    "off": pa.array(far.min(1)),
                     "codes": pa.array([c.tobytes() for c in codes], pa.binary()),
                     "error": pa.array(error),
                 }
@@ -198,10 +211,25 @@ def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
     coded = reliable(
         nodes.select("node", "n", "x", "label").mapInArrow(
             encode,
-            f"node long, n long, x array<double>, label {kind}, list int, visits array<int>, codes binary, error double",
+            f"node long, n long, x array<double>, label {kind}, list int, off double, codes binary, error double",
         )
     )
-    asking = coded.withColumn("visit", F.explode("visits"))
+    radii = np.full(len(index.centers), -np.inf)  # an empty list is never visited
+    for r in coded.groupBy("list").agg(F.max("off").alias("radius")).collect():
+        radii[r["list"]] = r["radius"]
+    gaps = distances(index.centers, index.centers)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seen = visited(distances(matrix(batch.column(2), dim), index.centers), radii, gaps, threshold)
+            visits = [np.flatnonzero(v).astype(np.int32) for v in seen]
+            columns = [batch.column(i) for i in range(4)] + [pa.array(visits, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "x", "label", "visits"])
+
+    asking = coded.select("node", "n", "x", "label").mapInArrow(ask, f"node long, n long, x array<double>, label {kind}, visits array<int>")
+    asking = reliable(asking).withColumn("visit", F.explode("visits"))
     sizes = coded.groupBy("label", F.col("list").alias("visit")).agg(F.count("*").alias("held"))
     asked = asking.groupBy("label", "visit").agg(F.count("*").alias("asked"))
     blocks = sizes.join(asked, ["label", "visit"]).select(
@@ -220,8 +248,8 @@ def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
         # Named anew, since both sides of the cogroup come from one table.
         return mine.select(*[F.col(c).alias(c) for c in ids + columns])
 
-    queries = dealt(asking, "q", "x", ["node", "n", "x", "list"])
-    held = dealt(coded.withColumn("visit", F.col("list")), "x", "q", ["node", "n", "x", "visits", "codes", "error"])
+    queries = dealt(asking, "q", "x", ["node", "n", "x"])
+    held = dealt(coded.withColumn("visit", F.col("list")), "x", "q", ["node", "n", "x", "codes", "error"])
 
     def compare(q: pa.Table, x: pa.Table) -> pa.Table:
         facts: list[tuple[int, int | None, int | None]] = []
@@ -232,14 +260,9 @@ def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
             q_nodes, x_nodes = q["node"].to_numpy(), x["node"].to_numpy()
             other = q_nodes[left] != x_nodes[right]
             left, right = left[other], right[other]
-            # Each vector counts what it finds. What a vector finds that does not visit its list
-            # in turn would miss the link, so it is counted for it here.
-            q_list, visits = q["list"].to_numpy(), [set(v) for v in x["visits"].to_pylist()]
-            single = np.array([q_list[a] not in visits[b] for a, b in zip(left, right, strict=True)], dtype=bool)
+            # Each of a pair visits the other's list and counts what it finds.
             mine = np.bincount(left, weights=x["n"].to_numpy()[right], minlength=q.num_rows)
-            theirs = np.bincount(right[single], weights=q["n"].to_numpy()[left[single]], minlength=x.num_rows)
-            for own, count in ((q_nodes, mine), (x_nodes, theirs)):
-                facts += [(int(own[i]), None, int(count[i])) for i in np.flatnonzero(count)]
+            facts += [(int(q_nodes[i]), None, int(mine[i])) for i in np.flatnonzero(mine)]
             both = np.concatenate([q_nodes, x_nodes])
             facts += [(a, b, None) for a, b in forest(both, left, right + q.num_rows)]
         columns = zip(*facts, strict=True) if facts else ([], [], [])

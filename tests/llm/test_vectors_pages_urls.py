@@ -86,6 +86,32 @@ def test_vector_near_duplicates(spark, vectors, monkeypatch, block, per_list):
     assert pq.near_duplicates(df.limit(0)).count() == 0
 
 
+def paired_groups(n=4000, pairs=100, dim=64):
+    """Tight groups in pairs whose centres are at a cosine of 0.945; a tenth of the rows is noise."""
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    a = unit(rng.normal(size=(pairs, dim)))
+    side = rng.normal(size=(pairs, dim))
+    side = unit(side - (side * a).sum(1, keepdims=True) * a)
+    centers = np.concatenate([a, 0.945 * a + np.sqrt(1 - 0.945**2) * side])
+    x = centers[rng.integers(0, 2 * pairs, n)] + rng.normal(size=(n, dim)) * 0.002
+    x[::10] = rng.normal(size=(len(x[::10]), dim))
+    return unit(x)
+
+
+@pytest.mark.parametrize("lists", [128, 512])
+def test_many_lists_lose_no_link(spark, monkeypatch, lists):
+    x = paired_groups()
+    monkeypatch.setattr(pq, "PER_LIST", -(-len(x) // lists))
+    near = x @ x.T >= 0.93
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["key"]: (r["n_links"], r["component"]) for r in pq.near_duplicates(df).collect()}
+    root = np.arange(len(x))
+    for _ in range(50):
+        root = np.where(near, root[None, :], len(x)).min(1)
+    assert got == {i: (int(near[i].sum()) - 1, int(root[i])) for i in range(len(x))}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="ad">Buy this. Now.</div><!-- <p>x</p> -->
 <article><h1>A  title &amp; more</h1><p><b>First words<br>on two&nbsp;lines &#233; here, in a sentence.<p>Second one. It has

@@ -16,6 +16,14 @@ _FEMALE = r"Mrs|Ms|Miss|Frau|Señora|Señorita|Madame|Mademoiselle|госпож
 _NEUTRAL = r"Dr|Prof|Mx"
 _TITLE = rf"(?:{_FEMALE}|{_MALE}|{_NEUTRAL})\.?\s"
 _NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*"
+# Digits as cards group them, the longer form first.
+_CARD_FORMS = (
+    r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,3}",
+    r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}",
+    r"\d{4}[ -]\d{6}[ -]\d{4,5}",
+    r"\d{13,19}",
+)
+_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 SECRET = (
     r"(?i:(?<![\p{L}\p{N}])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
     r"\s{0,3}[:=]\s{0,3}[\"']?)(?=[^\s\"']{0,99}\d)[^\s\"',;!?)]{5,}[^\s\"',;!?).]"
@@ -25,9 +33,9 @@ KINDS = {
     "cloud key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9]){_IBAN}(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": rf"(?<!\d)(?:{'|'.join(_CARD_FORMS)})(?!\d)",
     "phone": (
         r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
         r"|(?<![\d+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
@@ -35,6 +43,9 @@ KINDS = {
     "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME_WORD}(?: {_NAME_WORD}){{0,2}}",
 }
 MENTION = "|".join(f"(?:{p})" for p in KINDS.values())
+# Kinds with a proof: only what passes it is a mention, so they are searched apart, see `_finder`.
+_PROVEN = ("card", "iban")
+_PLAIN = "|".join(f"(?:{p})" for name, p in KINDS.items() if name not in _PROVEN)
 # Every mention has a digit or an @ or begins like this: one cheap look spares most texts the rest.
 HINT = rf"[0-9@]|AKIA|ASIA|{_TITLE}"
 _DIGITS = ("ssn", "card", "phone")
@@ -123,17 +134,63 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def _is_card(mention: Column) -> Column:
+    return _luhn(_digits(mention)) % 10 == 0
+
+
+def _is_iban(mention: Column) -> Column:
+    return _mod97(F.replace(mention, F.lit(" "), F.lit(""))) == 1
+
+
 def _kind(mention: Column) -> Column:
     """The kind of a mention; NULL for a number that no card or account can have."""
     kind = None
     for name, pattern in KINDS.items():
-        hit, known = mention.rlike(f"^(?:{pattern})$"), F.lit(name)
-        if name == "card":
-            known = F.when(_luhn(_digits(mention)) % 10 == 0, known)
-        if name == "iban":
-            known = F.when(_mod97(F.replace(mention, F.lit(" "), F.lit(""))) == 1, known)
-        kind = F.when(hit, known) if kind is None else kind.when(hit, known)
-    return kind
+        hit = mention.rlike(f"^(?:{pattern})$")
+        if name in _PROVEN:
+            hit = F.when(hit, _is_card(mention) if name == "card" else _is_iban(mention)).otherwise(False)
+        kind = F.when(hit, F.lit(name)) if kind is None else kind.when(hit, F.lit(name))
+    return kind.when(mention.rlike(f"^{_NAME_WORD}$"), F.lit("name"))
+
+
+def _finder(body: Column) -> Column:
+    """The pattern of a text's mentions: the kinds without a proof, and the text's own literals.
+
+    Literals are the card and account numbers in the text that pass their proof, and the words of
+    its names. Candidates may begin anywhere, also inside others, and one that fails takes no part,
+    so it hides nothing. Of mentions that overlap the first counts, then the longer one.
+    """
+    none = F.array().cast("array<string>")
+
+    def starts(before: str, form: str, after: str) -> Column:
+        return F.regexp_extract_all(body, F.lit(f"{before}(?=({form}){after})"), F.lit(1))
+
+    def prefixes(candidate: Column) -> Column:
+        parts = F.split(candidate, " ")
+        return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), " "))
+
+    cards = F.concat(*[starts(r"(?<!\d)", form, r"(?!\d)") for form in _CARD_FORMS])
+    cards = F.when(body.rlike(KINDS["card"]), F.filter(F.array_distinct(cards), _is_card)).otherwise(none)
+    ibans = F.flatten(F.transform(starts("(?<![A-Za-z0-9])", _IBAN, "(?![A-Za-z0-9])"), prefixes))
+    ibans = F.filter(F.array_distinct(ibans), lambda m: m.rlike(f"^{_IBAN}$"))
+    ibans = F.when(body.rlike(KINDS["iban"]), F.filter(ibans, _is_iban)).otherwise(none)
+    words = F.flatten(F.transform(F.regexp_extract_all(body, F.lit(KINDS["name"]), F.lit(0)), _name_words))
+    words = F.filter(F.array_distinct(words), lambda w: F.length(w) > 1)
+    words = F.when(body.rlike(KINDS["name"]), words).otherwise(none)
+
+    def either(literals: Column, before: str, after: str, behind: bool = False) -> Column:
+        # In falling order a longer literal stands before its own beginning.
+        one = F.array_join(F.sort_array(literals, asc=False), "|")
+        group = F.concat(F.lit(f"{before}(?:"), one, F.lit(f"){after}"))
+        group = F.concat(F.lit("|"), group) if behind else F.concat(group, F.lit("|"))
+        return F.when(F.size(literals) > 0, group).otherwise("")
+
+    return F.concat(
+        either(cards, r"(?<!\d)", r"(?!\d)"),
+        either(ibans, "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"),
+        F.lit(_PLAIN),
+        either(words, r"(?<![\p{L}\p{N}\p{M}])", r"(?![\p{L}\p{N}\p{M}])", behind=True),
+    )
 
 
 def _secret_value(mention: Column) -> Column:
@@ -248,12 +305,26 @@ def _rendered(kind: Column, mention: Column, found: Column) -> Column:
     return out.otherwise(first)
 
 
+def _settled(parts: DataFrame) -> DataFrame:
+    """``parts`` with one kind for each name word, whatever titles it has and wherever it stands.
+
+    A given name keeps its titles' gender unless they differ.
+    """
+    named = F.col("kind").startswith("given ") | (F.col("kind") == "surname")
+    has = {g: F.max(F.col("kind") == f"given {g}") for g in "fmn"}
+    role = F.when(has["f"] & has["m"], "given n").when(has["f"], "given f").when(has["m"], "given m")
+    role = role.when(has["n"], "given n").otherwise("surname")
+    roles = parts.where(named).groupBy(F.col("entity").alias("word")).agg(role.alias("role"))
+    parts = parts.join(roles, named & (F.col("entity") == F.col("word")), "left")
+    return parts.select("mention", "at", F.coalesce("role", "kind").alias("kind"), "entity")
+
+
 def replacements(mentions: DataFrame, secret: str) -> DataFrame:
     """(mention, replacement) for distinct ``mention``; mentions of no kind have no row."""
     kinds = mentions.select("mention").distinct().withColumn("kind", _kind(F.col("mention"))).where("kind IS NOT NULL")
     kinds = reliable(kinds)
     parts = kinds.select("mention", F.posexplode(_entities(F.col("kind"), F.col("mention"))).alias("at", "e"))
-    parts = parts.select("mention", "at", "e.kind", "e.entity")
+    parts = _settled(parts.select("mention", "at", "e.kind", "e.entity"))
     found = parts.join(surrogates(parts, secret), ["kind", "entity"])
     found = found.groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("found"))
     rows = kinds.join(found, "mention")
@@ -265,7 +336,8 @@ def replace(docs: DataFrame, secret: str, text: str = "text", count: str | None
 
     An entity has one surrogate in the whole corpus, however it is written, so mentions that
     belonged together still do, and no two entities share one. Kind, format, script, case and a
-    title's gender are kept; card and account numbers stay valid ones. Texts are cut at their
+    title's gender are kept; card and account numbers stay valid ones. A name is found by its title,
+    then each of its words wherever it stands in the same text. Texts are cut at their
     mentions and joined again, so a surrogate is never searched in turn. Most texts mention
     nobody and take no part in any shuffle; equal texts are looked up once. NULL and empty texts
     stay as they are, as do repeated rows and other columns; an empty table gives no row.
@@ -273,15 +345,16 @@ def replace(docs: DataFrame, secret: str, text: str = "text", count: str | None
     """
     body, names = F.col(text), [f"`{c}`" for c in docs.columns]
     has = F.coalesce(body.rlike(HINT) & body.rlike(MENTION), F.lit(False))
-    hit = docs.where(has).withColumn("_pii_id", F.sha2(body, 256))
-    seen = hit.select("_pii_id", F.explode(F.regexp_extract_all(body, F.lit(MENTION), F.lit(0))).alias("mention"))
+    hit = docs.where(has).withColumn("_pii_id", F.sha2(body, 256)).withColumn("_pii_find", _finder(body))
+    find = F.col("_pii_find")
+    seen = hit.select("_pii_id", F.explode(F.regexp_extract_all(body, find, F.lit(0))).alias("mention"))
     seen = reliable(seen.distinct())
     pairs = seen.join(replacements(seen, secret), "mention")
     lookup = pairs.groupBy("_pii_id").agg(
         F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("_pii_map")
     )
     rows = hit.join(lookup, "_pii_id", "left")
-    gaps, found = F.split(body, MENTION, -1), F.regexp_extract_all(body, F.lit(MENTION), F.lit(0))
+    gaps, found = F.split(body, find, -1), F.regexp_extract_all(body, find, F.lit(0))
     new = F.transform(found, lambda m: F.coalesce(F.col("_pii_map")[m], m))
     joined = F.array_join(F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
     n = F.size(F.filter(found, lambda m: F.col("_pii_map")[m].isNotNull()))

@@ -329,6 +329,30 @@ def test_surrogates_keep_form_and_identity(spark, docs):
     assert pii.replace(docs(rows), "other").where("doc_id = 0").first()["text"] != text[0]
 
 
+def test_numbers_that_fail_their_proof_hide_nothing(docs):
+    texts = {
+        "on 2024-01-15 555-123-4567.": ["555-123-4567"],
+        "12345 415-555-2671": ["415-555-2671"],
+        "2024-01-15 123-45-6789": ["123-45-6789"],
+        "4041894974608795 123": ["4041894974608795"],
+        "123 4041894974608795": ["4041894974608795"],
+        "ID42 4111 1111 1111 1111": ["4111 1111 1111 1111"],
+        "1234 4111 1111 1111 1111": ["4111 1111 1111 1111"],
+        "3782 822463 10005 x": ["3782 822463 10005"],
+        "BE68 5390 0754 7034 PAID BY": ["BE68 5390 0754 7034"],
+        "AB12 DE89 3704 0044 0532 0130 00": ["DE89 3704 0044 0532 0130 00"],
+        "Dr Jane Quux came. Jane, or Mrs Quux's: Quux? Janet stays.": ["Jane", "Quux"],
+    }
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["text"], r["n"]) for r in pii.replace(docs(rows), "k", count="n").collect()}
+    for i, (text, private) in enumerate(texts.items()):
+        assert got[i][1] > 0, text
+        assert not any(re.search(rf"(?<!\w){re.escape(p)}(?![\w'])", got[i][0]) for p in private), got[i]
+    assert got[3][0].endswith(" 123") and got[0][0].startswith("on 2024-01-15 ") and got[8][0].endswith(" PAID BY")
+    full = re.fullmatch(r"Dr (\w+) (\w+) came\. (\w+), or Mrs [^:]*: (\w+)\? Janet stays\.", got[10][0]).groups()
+    assert full[0] == full[2] and full[1] == full[3]
+
+
 def test_colliding_surrogates_are_told_apart(spark):
     names = [(("surname"), "".join(random.Random(i).choices("abcdefgh", k=9))) for i in range(1500)]
     df = spark.createDataFrame(names, "kind string, entity string")

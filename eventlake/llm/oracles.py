@@ -4,6 +4,82 @@ from __future__ import annotations
 
 from eventlake.llm.mixing import DRAWS, MAX_REPEAT, SEEDS
 
+# Terms of the lexical search: A-Z lower-cased, all else as it is.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _merkle() -> str:
+    """The manifest's trees level by level: enough levels for 8^9 documents of a language, 8^4 languages."""
+    crc = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: ascii(c)::UBIGINT)), lambda a, b: %s)"""
+    step = "xor(a, b)"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda c: xor(c >> 1, (c & 1) * 3988292384))[1]"
+    value = "coalesce(octet_length(encode({0})) || ':' || {0}, '-')"
+    names = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")
+    head = " || ".join(value.format(f) for f in names)
+    parts = [
+        f"""base AS (
+    SELECT doc_id, lang, sha256({head} || {value.format("text")}) AS leaf,
+           sha256({head} || {value.format(_LOWER)}) AS low,
+           coalesce(xor({crc % step}, 4294967295) % 3 = 0, FALSE) AS tampered
+    FROM documents
+), l0 AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM base
+)"""
+    ]
+
+    def level(name: str, below: str, group: str) -> str:
+        return f"""{name} AS (
+    SELECT {group} i // 8 AS i, CASE WHEN any_value(c) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+    FROM (SELECT *, count(*) OVER ({"PARTITION BY lang" if group else ""}) AS c FROM {below}) GROUP BY {group} i // 8
+)"""
+
+    for d in range(1, 10):
+        parts.append(level(f"l{d}", f"l{d - 1}", "lang,"))
+    parts.append("t0 AS (SELECT row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, lang, h FROM l9)")
+    for d in range(1, 5):
+        parts.append(level(f"t{d}", f"t{d - 1}", ""))
+    # The siblings of every node: what stands before and after it in its run, nothing once one is left.
+
+    def beside(name: str, level: str, group: str) -> str:
+        return f"""{name} AS (
+    SELECT *, coalesce(string_agg(h, '') OVER (PARTITION BY {group} i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+           coalesce(string_agg(h, '') OVER (PARTITION BY {group} i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a,
+           count(*) OVER ({"PARTITION BY lang" if group else ""}) AS c FROM {level}
+)"""
+
+    parts += [beside(f"s{d}", f"l{d}", "lang,") for d in range(9)]
+    parts += [beside(f"u{d}", f"t{d}", "") for d in range(4)]
+    rows = """rows AS (
+    SELECT doc_id, lang, leaf, CASE WHEN tampered THEN low ELSE leaf END AS h,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM base
+), f0 AS (SELECT *, i AS j, '' AS p, h AS h0, CAST(1 AS BIGINT) AS copies FROM rows)"""
+    parts.append(rows)
+    for d in range(9):
+        parts.append(f"""f{d + 1} AS (
+    SELECT f.* EXCLUDE (h, j, p, copies), f.copies + (s.c > 1)::BIGINT AS copies, f.j // 8 AS j, f.p || s.b || s.a AS p,
+           CASE WHEN s.c = 1 THEN f.h ELSE sha256(s.b || f.h || s.a) END AS h
+    FROM f{d} f JOIN s{d} s ON f.lang IS NOT DISTINCT FROM s.lang AND f.j = s.i
+)""")
+    parts.append("""g0 AS (
+    SELECT f.* EXCLUDE (j), t.i AS j, t.h AS subroot FROM f9 f JOIN t0 t ON f.lang IS NOT DISTINCT FROM t.lang
+)""")
+    for d in range(4):
+        parts.append(f"""g{d + 1} AS (
+    SELECT g.* EXCLUDE (h, j, p, copies), g.copies + (u.c > 1)::BIGINT AS copies, g.j // 8 AS j, g.p || u.b || u.a AS p,
+           CASE WHEN u.c = 1 THEN g.h ELSE sha256(u.b || g.h || u.a) END AS h
+    FROM g{d} g JOIN u{d} u ON g.j = u.i
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT g.doc_id, g.leaf, g.subroot, t.h AS root, sha256(g.p) AS proof_sha256, g.h AS folded_root, g.h = t.h AS verified,
+       CASE WHEN g.h0 <> g.leaf THEN g.copies ELSE 0 END AS n_copied
+FROM g4 g, t4 t"""
+
+
+_MERKLE = _merkle()
+
 ORACLES: dict[str, str] = {
     "op6_mixing": rf"""
 WITH sized AS (
@@ -100,4 +176,31 @@ SELECT c.page_id, CAST(coalesce(t.n_active, 0) AS BIGINT) AS n_active, t.rule, t
        coalesce(t.action = 'block', false) AS blocked
 FROM captures c LEFT JOIN tops t USING (page_id)
 """,
+    "op11_lexical": rf"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), whole AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), counted AS (
+    SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, whole GROUP BY term
+), means AS (
+    SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM sizes, whole
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN counted USING (term) JOIN weighed USING (term) JOIN means USING (doc_id)
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_manifest": _MERKLE,
 }

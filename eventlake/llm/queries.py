@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import html, mixing, packing, pii, pq, quality, simhash, substrings, topk, urls
+from eventlake.llm import html, lexical, manifest, mixing, packing, pieces, pii, pq, quality, simhash, substrings, topk, urls
 from eventlake.llm.common import importable, table
 from eventlake.llm.oracles import ORACLES as ORACLES
 
@@ -161,3 +162,50 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    rows = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+@query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and what it says about copies with some texts tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", manifest.UPPER, manifest.UPPER.lower())
+    tree = manifest.build(
+        docs,
+        order="doc_id",
+        group="lang",
+        fields=("doc_id", "source", "lang", "n_chars", "text"),
+        changed={"text": F.when(tampered, lowered).otherwise(F.col("text"))},
+    )
+    rows = tree.proofs()
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+        F.coalesce(F.size("copied"), F.lit(0)).cast("long").alias("n_copied"),
+    )
+
+
+@query
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, spans and decoded text of every document, as digests."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_bytes"),
+    )

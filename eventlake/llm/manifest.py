@@ -193,27 +193,9 @@ class Manifest:
         """(group, level, pos, digest): every node of the groups' trees, leaves at level 0."""
         found = None
         for i, nodes in enumerate(self.rounds[:-1]):
-
-            def run(block: pa.Table, base: int = LEVELS * i) -> pa.Table:
-                block = _ordered(block)
-                first, n = block["pos"][0].as_py(), block["n"][0].as_py()
-                levels = block_levels(block["digest"].to_pylist(), n)
-                # A block's root is the next round's node; of a whole tree it is the last one.
-                shown = levels if _n_above(n) == 1 else levels[:-1]
-                rows = [
-                    (base + at, (first >> 3 * at) + j, node)
-                    for at, level in enumerate(shown)
-                    for j, node in enumerate(level)
-                    if not (base and n == 1)
-                ]
-                columns = list(zip(*rows, strict=True)) or [[], [], []]
-                kinds = (pa.int32(), pa.int64(), pa.string())
-                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                name = pa.array([block["g"][0].as_py()] * len(rows), pa.string())
-                return pa.Table.from_arrays([name, *arrays], names=["g", "level", "pos", "digest"])
-
             blocks = nodes.select("g", "pos", "n", "digest").withColumn("block", F.shiftright("pos", BLOCK_BITS))
-            some = blocks.groupBy("g", "block").applyInArrow(run, "g string, level int, pos long, digest string")
+            blocks = blocks.groupBy("g", "block")
+            some = blocks.applyInArrow(_shown_above(LEVELS * i), "g string, level int, pos long, digest string")
             found = some if found is None else found.unionByName(some)
         return found.select(_group_of(F.col("g")).alias("group"), "level", "pos", "digest")
 
@@ -294,6 +276,26 @@ def _paths_of_groups(nodes: DataFrame, upper: DataFrame) -> DataFrame:
     return _met(nodes, upper, run, "g string, pos long, path array<string>, tops array<string>")
 
 
+def _shown_above(base: int) -> Callable[[pa.Table], pa.Table]:
+    """The nodes of a block whose lowest level is ``base``."""
+
+    def run(block: pa.Table) -> pa.Table:
+        block = _ordered(block)
+        first, n = block["pos"][0].as_py(), block["n"][0].as_py()
+        levels = block_levels(block["digest"].to_pylist(), n)
+        # A block's root is the next round's node, but that of a whole tree; a lone node came up so.
+        shown = levels if _n_above(n) == 1 else levels[:-1]
+        shown = [] if base and n == 1 else shown
+        rows = [(base + at, (first >> 3 * at) + j, node) for at, level in enumerate(shown) for j, node in enumerate(level)]
+        columns = list(zip(*rows, strict=True)) or [[], [], []]
+        kinds = (pa.int32(), pa.int64(), pa.string())
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        name = pa.array([block["g"][0].as_py()] * len(rows), pa.string())
+        return pa.Table.from_arrays([name, *arrays], names=["g", "level", "pos", "digest"])
+
+    return run
+
+
 def _group_name(group: Column) -> Column:
     """A name for each group that is never NULL, in the order of the groups, NULL first."""
     return F.when(group.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), group.cast("string")))
@@ -328,7 +330,7 @@ def build(
         leaf([other[f] for f in fields]).alias("changed"),
     )
     keyed = [F.asc_nulls_first("key"), F.col("digest"), F.col("changed")]
-    leaves = _positions(rows, "g", keyed)
+    leaves = _positions(reliable(rows), "g", keyed)
     rounds = _rounds(leaves)
     if len(rounds) == 1:  # no row at all
         rounds.append(rounds[0].select("g", "pos", "n", "digest"))

@@ -35,7 +35,7 @@ _CHARMAP, _DUMMY, _SQUEEZE, _ESCAPE = 2, 3, 4, 5
 # Longer runs without a blank are merged with a heap: the other way is quadratic in them.
 LONG_WORD = 256
 # Bytes of text that are encoded before their rows are handed on, to bound memory.
-_HANDED_ON = 4 << 20
+_HANDED_ON = 2 << 20
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -179,10 +179,11 @@ class Model:
         out = [self._ids_of(token) for token in tokens]
         self.token_ids = np.array([ids[0] for ids in out], dtype=np.int32)
         self.token_many = {rank: ids for rank, ids in enumerate(out) if len(ids) > 1}
-        self.many_tokens = np.array(sorted(self.token_many), dtype=np.int64)
+        self.token_is_many = np.array([len(ids) > 1 for ids in out])
         self._runs: dict[int, list[int]] = {}
         sizes = [1 if kind == BYTE else len(p.encode()) for p, _, kind in self.pieces]
         self.sizes = np.array(sizes, dtype=np.int64)
+        self.leads = [kind == NORMAL and p.startswith(BLANK) for p, _, kind in self.pieces]
         self.texts = [self._text_of(p, kind) for p, _, kind in self.pieces]
 
     def _ids_of(self, token: bytes) -> list[int]:
@@ -275,7 +276,7 @@ class Model:
     def _joined_blanks(self, tokens: np.ndarray) -> np.ndarray:
         """Ids of merged words; negative tokens are ids already. Then runs of blanks are merged."""
         ids = np.where(tokens < 0, -1 - tokens, self.token_ids[np.maximum(tokens, 0)]).astype(np.int32)
-        many = np.isin(tokens, self.many_tokens)
+        many = self.token_is_many[np.maximum(tokens, 0)] & (tokens >= 0)
         blank = ids == self.id.get(BLANK, -1)
         beside = np.zeros(len(ids) + 1, dtype=bool)
         beside[1:-1] = blank[1:] & blank[:-1]
@@ -337,9 +338,14 @@ class Model:
         Bytes of byte pieces that make no character are replaced one by one.
         """
         texts = self.texts
-        joined = b"".join([texts[i] for i in ids])
-        if (self.dummy or self.squeeze) and joined.startswith(b" "):
-            joined = joined.lstrip(b" ") if self.squeeze else joined[1:]
+        parts = [texts[i] for i in ids]
+        if self.dummy or self.squeeze:
+            for at, i in enumerate(ids):
+                if self.leads[i]:
+                    parts[at] = parts[at][1:]
+                if parts[at] or (self.leads[i] and not self.squeeze):
+                    break
+        joined = b"".join(parts)
         try:
             return joined.decode()
         except UnicodeDecodeError:
@@ -366,10 +372,14 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with a bounded number of bytes, or a single row."""
+def _slices(batch: pa.RecordBatch, column: int, width: int = 0) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with a bounded number of bytes, or a single row.
+
+    ``width`` is that of a list's values, 0 for texts.
+    """
     values = batch.column(column)
-    sizes = np.array([0 if v is None else v for v in pc.binary_length(values).to_pylist()], dtype=np.int64)
+    lengths = pc.list_value_length(values) if width else pc.binary_length(values)
+    sizes = lengths.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * (width or 1)
     part = np.cumsum(sizes) // _HANDED_ON
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(edges, edges[1:], strict=False):
@@ -383,37 +393,44 @@ def _ints(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", *, decoded: bool = False) -> DataFrame:
     """(key, ids, starts, ends) of each row of ``docs``: one span of bytes for each id.
 
     Spans follow each other without gaps; blanks that normalisation adds have empty ones, and of a
     character that is spelled in bytes the last byte has the span. A NULL or empty text has no ids.
     Equal or NULL keys stay rows of their own, other columns are not looked at, an empty table gives
     no row. A text is held by one task, with about 30 bytes a byte of it. ``path`` is the model file,
-    in the same place on every worker. No shuffle.
+    in the same place on every worker. ``decoded`` adds a column of that name, what the ids spell, as
+    ``decode`` gives it, without sending them to Python again. No shuffle.
     """
+    names = ["key", "ids", "starts", "ends"] + ["decoded"] * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for batch in batches:
             for part in _slices(batch, 1):
-                rows = [pieces.encode(t) for t in part.column(1).to_pylist()]
-                columns = [_ints([getattr(r, name) for r in rows]) for name in ("ids", "starts", "ends")]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["key", "ids", "starts", "ends"])
+                rows = [pieces.encode(t.as_py()) for t in part.column(1)]
+                columns = [part.column(0), *(_ints([getattr(r, name) for r in rows]) for name in names[1:4])]
+                if decoded:
+                    columns.append(pa.array([pieces.decode(r.ids.tolist()) for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "key long, ids array<int>, starts array<int>, ends array<int>")
+    schema = "key long, ids array<int>, starts array<int>, ends array<int>" + ", decoded string" * decoded
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded``, from ``encode``, with the text that its ``ids`` spell as ``decoded``. No shuffle."""
-    kept = ["key", "ids", "starts", "ends"]
+    """(key, decoded): the text that the ``ids`` of each row of ``encoded`` spell. No shuffle.
+
+    NULL or no ids spell the empty text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for batch in batches:
-            texts = [pieces.decode(i) for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, "decoded"])
+            for part in _slices(batch, 1, pa.int32().byte_width):
+                texts = [pieces.decode(i.as_py() or []) for i in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["key", "decoded"])
 
-    schema = "key long, ids array<int>, starts array<int>, ends array<int>, decoded string"
-    return encoded.select(*kept).mapInArrow(run, schema)
+    return encoded.select("key", "ids").mapInArrow(run, "key long, decoded string")

@@ -201,7 +201,7 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, spans and decoded text of every document, as digests."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    rows = pieces.encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return rows.select(
         F.col("key").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

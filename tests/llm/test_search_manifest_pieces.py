@@ -378,7 +378,8 @@ def test_encoding_of_odd_rows(docs, own, library):
             row = by_key[key]
             assert row["ids"] == library.encode(text or "")
             assert row["decoded"] == library.decode(row["ids"])
-            covered = b"".join((text or "").encode()[a:b] for a, b in zip(row["starts"], row["ends"], strict=True))
+            raw = (text or "").encode()
+            covered = b"".join(raw[a:b] for a, b in zip(row["starts"], row["ends"], strict=True))
             assert covered.decode() == (text or "")
     assert pieces.encode(docs([]), PATH).count() == 0
 

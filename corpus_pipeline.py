@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import mixing, packing, pii, quality, similar
+from eventlake.llm import mixing, packing, pii, quality, simhash
 from eventlake.llm.common import importable
 from eventlake.session import scratch_dir
 
@@ -27,8 +27,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of the least doc_id."""
-    return similar.keep_one(docs)
+    """One document of each group of near copies stays, the one of the least doc_id.
+
+    Near copies have fingerprints of three-word shingles that differ in two bits at most, or are
+    linked by others that do.
+    """
+    return simhash.keep_one(docs)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,7 +48,18 @@ def least_hashed(rows: DataFrame, n: int, key: str) -> DataFrame:
 
 def text_hash(text: str) -> Column:
     """What tells rows of one key apart: a hash of the text."""
-    return F.xxhash64(F.col(text))
+    return F.xxhash64(F.col(f"`{text}`"))
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own that no column of ``docs`` has, in any case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def least_rows(docs: DataFrame, named: DataFrame, key: str, text: str) -> DataFrame:
@@ -59,10 +70,13 @@ def least_rows(docs: DataFrame, named: DataFrame, key: str, text: str) -> DataFr
     """
     order = F.struct(F.col("key").isNull().alias("last"), "key", "hash")
     least = named.groupBy("component").agg(F.min(order).alias("r"))
-    least = least.select(F.col("r.key").alias("_key"), F.col("r.hash").alias("_hash"))
-    hashed = docs.withColumn("_text_hash", text_hash(text))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash"))
-    return hashed.join(least, same, "left_semi").dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+    own_key, own_hash, hashed_as = unused(docs, "_key", "_hash", "_text_hash")
+    least = least.select(F.col("r.key").alias(own_key), F.col("r.hash").alias(own_hash))
+    names = [f"`{c}`" for c in docs.columns]
+    key_as = unused(docs, "_key_of", own_key, own_hash, hashed_as)[0]
+    hashed = docs.select(*names, F.col(f"`{key}`").alias(key_as), text_hash(text).alias(hashed_as))
+    same = F.col(key_as).eqNullSafe(F.col(own_key)) & (F.col(hashed_as) == F.col(own_hash))
+    return hashed.join(least, same, "left_semi").dropDuplicates([key_as, hashed_as]).select(*names)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

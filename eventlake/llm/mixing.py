@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import WORD, reliable
+from eventlake.llm.common import WORD, reliable, unused
 
 MAX_REPEAT = 3
 SEEDS = 16
@@ -81,7 +81,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     to the smaller: any one of them gives every document the same chance, and reruns agree.
     """
     sized = reliable(
-        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words(F.col(text)).alias("size"))
+        docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), words(F.col(f"`{text}`")).alias("size"))
     )
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = targets(weights(sources))
@@ -131,12 +131,13 @@ def mix_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with its own columns and no other."""
+    """The rows of ``docs``, each as often as the mix takes it, with its own columns and no other,
+    whatever they are called."""
     _, sources = plan(docs, key, text, source)
-    sources = sources.select(
-        F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), F.col("seed").alias("_mix_seed")
-    )
-    rows = docs.join(small(sources), F.col(source).eqNullSafe(F.col("_mix_source")))
-    n = copies(F.col(key), F.col("_mix_rate"), F.col("_mix_seed"))
-    rows = rows.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int"))))
-    return rows.select(*[f"`{c}`" for c in docs.columns])
+    name, rate, seed, copy = unused(docs, "_mix_source", "_mix_rate", "_mix_seed", "_mix_copy")
+    sources = sources.select(F.col("source").alias(name), F.col("rate").alias(rate), F.col("seed").alias(seed))
+    rows = docs.join(small(sources), F.col(f"`{source}`").eqNullSafe(F.col(name)))
+    n = copies(F.col(f"`{key}`"), F.col(rate), F.col(seed))
+    names = [f"`{c}`" for c in docs.columns]
+    rows = rows.select(*names, F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias(copy))
+    return rows.select(*names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import reliable
+from eventlake.llm.common import reliable, unused
 
 # What counts as a mention, by kind; the first kind that matches somewhere wins.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -340,28 +340,30 @@ def replace(docs: DataFrame, secret: str, text: str = "text", count: str | None
     then each of its words wherever it stands in the same text. Texts are cut at their
     mentions and joined again, so a surrogate is never searched in turn. Most texts mention
     nobody and take no part in any shuffle; equal texts are looked up once. NULL and empty texts
-    stay as they are, as do repeated rows and other columns; an empty table gives no row.
+    stay as they are, as do repeated rows and other columns, whatever they are called; an empty table
+    gives no row.
     ``count``: a column to add, the number of mentions replaced.
     """
-    body, names = F.col(text), [f"`{c}`" for c in docs.columns]
+    body, names = F.col(f"`{text}`"), [f"`{c}`" for c in docs.columns]
+    own_id, own_find, own_map = unused(docs, "_pii_id", "_pii_find", "_pii_map")
     has = F.coalesce(body.rlike(HINT) & body.rlike(MENTION), F.lit(False))
-    hit = docs.where(has).withColumn("_pii_id", F.sha2(body, 256)).withColumn("_pii_find", _finder(body))
-    find = F.col("_pii_find")
-    seen = hit.select("_pii_id", F.explode(F.regexp_extract_all(body, find, F.lit(0))).alias("mention"))
+    hit = docs.where(has).withColumn(own_id, F.sha2(body, 256)).withColumn(own_find, _finder(body))
+    find, known = F.col(own_find), F.col(own_map)
+    seen = hit.select(F.col(own_id).alias("id"), F.explode(F.regexp_extract_all(body, find, F.lit(0))).alias("mention"))
     seen = reliable(seen.distinct())
     pairs = seen.join(replacements(seen, secret), "mention")
-    lookup = pairs.groupBy("_pii_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("_pii_map")
+    lookup = pairs.groupBy(F.col("id").alias(own_id)).agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias(own_map)
     )
-    rows = hit.join(lookup, "_pii_id", "left")
+    rows = hit.join(lookup, own_id, "left")
     gaps, found = F.split(body, find, -1), F.regexp_extract_all(body, find, F.lit(0))
-    new = F.transform(found, lambda m: F.coalesce(F.col("_pii_map")[m], m))
+    new = F.transform(found, lambda m: F.coalesce(known[m], m))
     joined = F.array_join(F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    n = F.size(F.filter(found, lambda m: F.col("_pii_map")[m].isNotNull()))
-    changed = F.when(F.col("_pii_map").isNull(), body).otherwise(joined)
-    number = F.when(F.col("_pii_map").isNull(), 0).otherwise(n)
+    n = F.size(F.filter(found, lambda m: known[m].isNotNull()))
+    changed = F.when(known.isNull(), body).otherwise(joined)
+    number = F.when(known.isNull(), 0).otherwise(n)
     shown = [changed.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
     rest = docs.where(~has).select(*names)
     if count:
-        return rows.select(*shown, number.alias(count)).union(rest.withColumn(count, F.lit(0)))
+        return rows.select(*shown, number.alias(count)).union(rest.select("*", F.lit(0).alias(count)))
     return rows.select(*shown).union(rest)

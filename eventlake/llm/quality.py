@@ -221,6 +221,7 @@ def keep_good(
     """The rows of ``docs`` that score ``threshold`` or more; all of them if nothing was labelled.
 
     Texts are read twice, once to learn and once to filter, rather than moved through a shuffle.
+    Columns stay as they are, whatever they are called.
     """
     model = fit(features(docs, key, text), labels)
     if model is None:
@@ -233,4 +234,6 @@ def keep_good(
                 x = np.array([statistics(t.as_py()) for t in batch.column(at)])
                 yield batch.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    # By number while in Python, as columns may have dots or capitals in their names.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

@@ -131,8 +131,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """``docs`` with one row of each near-duplicate component: that of the least key, NULL the last.
 
     Keys only order rows: other texts with the same or no key are documents of their own. Of several
-    rows with the least key the one of the least text hash stays, of equal ones any.
+    rows with the least key the one of the least text hash stays, of equal ones any. Other columns stay
+    as they are, whatever they are called.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), text_hash(text).alias("hash"), F.col(text).alias("text"))
+    rows = docs.select(
+        F.col(f"`{key}`").cast("long").alias("key"), text_hash(text).alias("hash"), F.col(f"`{text}`").alias("text")
+    )
     named = classes(rows, "hash", "text").select(F.col("key").alias("hash"), "component").distinct()
     return least_rows(docs, rows.select("key", "hash").distinct().join(named, "hash"), key, text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import reliable
+from eventlake.llm.common import reliable, unused
 
 BLOCK, ALLOW = "block", "allow"
 # Times are microseconds from 1970, before it negative; an entry that is never taken off ends here.
@@ -116,7 +116,8 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
 
     Adds ``n_active``, the number of rules in force for the URL at its fetch time, and ``rule`` and
     ``action`` of the most specific one: its page, its host, or the longest domain. Without any,
-    without a host or without a time, that is 0 and NULL. Repeated captures are judged each. Empty
+    without a host or without a time, that is 0 and NULL. Columns of ``captures`` with one of those
+    three names give way, all others stay. Repeated captures are judged each. Empty
     tables are fine. Times may be any long, also before 1970 or a far one that stands for never; only
     at the greatest long nothing is in force.
 
@@ -125,7 +126,10 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     once. Neither a host with most captures nor a rule with most changes multiplies with the other,
     as a join on the rule alone would.
     """
-    captures = reliable(captures.withColumn("_row", F.monotonically_increasing_id()))
+    verdict = ("n_active", "rule", "action")
+    kept = [c for c in captures.columns if c.lower() not in verdict]
+    own = unused(captures, "_row")[0]
+    captures = reliable(captures.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias(own)))
     spans = reliable(intervals(changes).where(F.col("since") < F.col("until")))
     cut = spans.select("rule", "action", F.explode(_blocks(F.col("since"), F.col("until"))).alias("b"))
     cut = cut.select("rule", "action", "b.level", "b.block")
@@ -133,16 +137,16 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
         F.struct(F.lit(n).alias("level"), _floor(F.col("at"), 1 << (_BASE_BITS * n)).alias("block"))
         for n in range(_LEVELS)
     ])
-    asked = captures.select(F.col("_row").alias("row"), "at", F.explode(rules_of(F.col("url"))).alias("r")).where("at IS NOT NULL")
+    asked = captures.select(F.col(own).alias("row"), "at", F.explode(rules_of(F.col("url"))).alias("r")).where("at IS NOT NULL")
     asked = asked.select("row", "at", "r.rule", "r.rank").join(spans.select("rule").distinct(), "rule", "left_semi")
     asked = asked.select("row", "rule", "rank", F.explode(levels).alias("b")).select("row", "rule", "rank", "b.level", "b.block")
     hits = asked.join(cut, ["rule", "level", "block"])
     verdicts = hits.groupBy("row").agg(
         F.count("*").alias("n_active"), F.max(F.struct("rank", "rule", "action")).alias("top")
     )
-    rows = captures.join(verdicts.withColumnRenamed("row", "_row"), "_row", "left")
+    rows = captures.join(verdicts.withColumnRenamed("row", own), own, "left")
     return rows.select(
-        *[F.col(f"`{c}`") for c in captures.columns if c != "_row"],
+        *[F.col(f"`{c}`") for c in kept],
         F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"),
         F.col("top.rule").alias("rule"),
         F.col("top.action").alias("action"),

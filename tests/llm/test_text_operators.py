@@ -10,9 +10,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from eventlake.llm import mixing, packing, pii, similar, simhash, substrings
+from eventlake.llm import mixing, packing, pii, quality, simhash, substrings, urls
 from eventlake.llm.queries import QUERIES
 from eventlake.llm.tokens import word_bpe
 
@@ -104,39 +105,15 @@ def test_links_hold_whatever_counts_as_a_hot_block(spark, monkeypatch, hot):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
-def word_sets(texts):
-    out = []
-    for t in texts:
-        words = (t or "").lower().split()
-        out.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    return out
-
-
-def near_components(texts):
-    """Least index reachable, by comparing all pairs of 5-word sets."""
-    sets = word_sets(texts)
-
-    def near(a, b):
-        return a == b or 9 * len(a & b) >= 4 * (len(a) + len(b)) > 0
-
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if root[i] != root[j] and near(sets[i], sets[j]):
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    return root
-
-
 def near_texts():
     rng = random.Random(8)
     texts = [None, "", "a b c d e f g h", "a b c d e f g h i", "a b c d e f g"]
     for g in range(40):
-        words = prose(700 + g, rng.choice([12, 100, 300, 1000])).split()
+        words = prose(700 + g, rng.choice([12, 300, 1000, 4000])).split()
         texts.append(" ".join(words))
-        for _ in range(5):  # near copies on either side of 0.8
+        for _ in range(5):  # copies on either side of two bits
             copy = list(words)
-            for at in rng.sample(range(len(copy)), rng.randrange(1, max(2, len(copy) // 30))):
+            for at in rng.sample(range(len(copy)), rng.choice([1, 2, 5])):
                 copy[at] = f"new{rng.randrange(10**9)}"
             texts.append(" ".join(copy))
     chain = prose(5, 200).split()
@@ -146,22 +123,21 @@ def near_texts():
     return texts
 
 
-def test_the_near_duplicate_stage_finds_what_brute_force_finds(spark, docs):
+def test_the_near_duplicate_stage_keeps_one_of_each_simhash_group(spark, docs):
     import corpus_pipeline
 
     texts = near_texts()
-    root = near_components(texts)
-    assert 50 < len(set(root)) < 200
+    root = component_of([(i, fingerprint(t)) for i, t in enumerate(texts)])
+    assert 50 < len(set(root.values())) < len(texts) - 20
     kept = corpus_pipeline.near_duplicates(spark, docs([(i, t, "s") for i, t in enumerate(texts)]).repartition(4), "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root.values()))
     assert corpus_pipeline.near_duplicates(spark, docs([]), "").count() == 0
 
 
-@pytest.mark.parametrize("keep_one", [simhash.keep_one, similar.keep_one])
-def test_documents_without_a_key_of_their_own_stay(docs, keep_one):
+def test_documents_without_a_key_of_their_own_stay(docs):
     a, b, c, d = (prose(800 + i, 60) for i in range(4))
     rows = [(None, a, "s"), (None, b, "s"), (None, c, "s"), (None, c, "t"), (7, a + " ", "s"), (7, d, "s"), (7, d, "s"), (8, d, "s"), (3, "", "s"), (3, c, "s")]
-    kept = keep_one(docs(rows))
+    kept = simhash.keep_one(docs(rows))
     assert kept.columns == docs([]).columns
     got = sorted((r["doc_id"] or 0, r["text"].strip()) for r in kept.collect())
     assert got == sorted([(0, b), (3, c), (3, ""), (7, a), (7, d)])
@@ -385,3 +361,45 @@ def test_mixing_odd_rows(spark, docs):
     copies = Counter(r["doc_id"] for r in mixed.collect())
     assert all(copies[r["key"]] == r["n_copies"] for r in got if r["key"] not in (1, 2))
     assert mixing.mix(docs([])).count() == 0 and mixing.mix_counts(docs([])).count() == 0
+
+
+# Names that the operators use inside, names with dots, and names that differ in case only.
+CLASHING = (
+    "_key _hash _text_hash _key_of _pii_id _pii_find _pii_map _mix_source _mix_rate _mix_seed _mix_copy _row "
+    "hash component fp fold x bucket id mention kind entity surrogate a.b c0 KEY size rate seed source_ copies"
+).split()
+
+
+def crowded(spark, rows):
+    """(doc_id, text, source) with a column for each name, whose values tell rows and columns apart."""
+    rows = [(*r, *(f"{name}-{i}" for name in CLASHING)) for i, r in enumerate(rows)]
+    kinds = "doc_id long, text string, source string, " + ", ".join(f"`{name}` string" for name in CLASHING)
+    return spark.createDataFrame(rows, kinds)
+
+
+@pytest.mark.parametrize("operator", ["near copies", "surrogates", "mixing", "quality"])
+def test_columns_of_any_name_stay_as_they_are(spark, operator):
+    texts = ["Dr Ada Byron has 4111 1111 1111 1111.", prose(1, 50), prose(1, 50), prose(2, 90), None, ""]
+    df = crowded(spark, [(i, t, "ab"[i % 2]) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    run = {
+        "near copies": lambda: simhash.keep_one(df),
+        "surrogates": lambda: pii.replace(df, "k"),
+        "mixing": lambda: mixing.mix(df),
+        "quality": lambda: quality.keep_good(df, labels, 0.0),
+    }[operator]
+    out = run()
+    assert out.columns == df.columns
+    given = {r["doc_id"]: tuple(r)[2:] for r in df.collect()}
+    got = [(r["doc_id"], tuple(r)[2:]) for r in out.collect()]
+    assert got and all(given[key] == rest for key, rest in got)
+
+
+def test_columns_of_captures_stay_but_those_of_the_verdict(spark):
+    kinds = "key long, url string, at long, _row string, RULE string, action int, `a.b` string, rank int"
+    captures = spark.createDataFrame([(1, "http://a.org/x", 5, "mine", "old", 3, "dot", 7)], kinds)
+    changes = spark.createDataFrame([(urls.BLOCK, 1)], "action string, at long").withColumn("rule", urls.host_rule(F.lit("http://a.org/")))
+    out = urls.judge(captures, changes.select("rule", "at", "action"))
+    assert out.columns == ["key", "url", "at", "_row", "a.b", "rank", "n_active", "rule", "action"]
+    row = out.first()
+    assert (row["_row"], row["a.b"], row["rank"], row["n_active"], row["action"]) == ("mine", "dot", 7, 1, urls.BLOCK)

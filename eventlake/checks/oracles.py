@@ -39,7 +39,7 @@ _METADATA = """CAST(CASE WHEN k BETWEEN 35 AND 39 THEN 0 ELSE value END AS DOUBL
     CAST('4.' || CAST(user_id % 10 AS STRING) AS DOUBLE) AS driver_rating"""
 
 
-def _rides(event_id: str = ID) -> str:
+def _rides(event_id: str = ID, where: str = f"{REASON} IS NULL") -> str:
     return f"""rides AS (
     SELECT {event_id} AS event_id,
            CASE WHEN k BETWEEN 40 AND 44 THEN 'null' ELSE 'user_' || {USER} END AS user_id,
@@ -47,18 +47,59 @@ def _rides(event_id: str = ID) -> str:
            CASE WHEN k BETWEEN 40 AND 44 THEN '' ELSE 'ride_' || {USER} END AS ride_id,
            {_METADATA}, {_hour("ms")} AS event_hour,
            ts AS arrived, event_id % 4 AS part, event_id AS off
-    FROM e WHERE {REASON} IS NULL)"""
+    FROM e WHERE {where})"""
 
 
 RIDE_COLUMNS = """event_id, user_id, event_type, event_timestamp, ride_id, surge_multiplier,
     estimated_wait_minutes, fare_amount, driver_rating, event_hour"""
 
-LATEST = f"""WITH {EVENTS}, {_rides(shaping.UPSERT_ID)}, latest AS (
+
+
+def _latest(where: str = f"{REASON} IS NULL") -> str:
+    return f"""WITH {EVENTS}, {_rides(shaping.UPSERT_ID, where)}, latest AS (
     SELECT {RIDE_COLUMNS} FROM rides
     QUALIFY row_number() OVER (PARTITION BY event_id, event_hour
                                ORDER BY arrived DESC, part DESC, off DESC) = 1)"""
 
 
+LATEST = _latest()
+# What closing cut-off objects and opening arrays mends.
+MENDED = f"({REASON} IS NULL OR k < 5 OR k BETWEEN 20 AND 24)"
+
+PAIRS = f"""topics AS (
+    SELECT event_type AS topic, row_number() OVER (ORDER BY count(*) DESC, event_type) AS place
+    FROM e WHERE event_type IS NOT NULL GROUP BY event_type)
+SELECT a.event_id, a.ride_id, a.event_timestamp, b.event_id AS later_id, b.event_timestamp AS later_timestamp
+FROM (SELECT * FROM rides WHERE event_type = (SELECT topic FROM topics WHERE place = 1)) a
+LEFT JOIN (SELECT * FROM rides WHERE event_type = (SELECT topic FROM topics WHERE place = 2)) b
+ON a.ride_id = b.ride_id AND b.event_timestamp BETWEEN a.event_timestamp AND a.event_timestamp + 6 * 3600000"""
+
+SESSIONS = """WITH t AS (
+    SELECT user_id, ts, value, ts + CASE event_type WHEN 'purchase' THEN INTERVAL 6 HOUR
+           WHEN 'error' THEN INTERVAL 30 MINUTE ELSE INTERVAL 2 HOUR END AS until
+    FROM events WHERE ts IS NOT NULL
+), marked AS (
+    SELECT *, max(until) OVER (PARTITION BY user_id ORDER BY ts, until
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM t
+), numbered AS (
+    SELECT *, sum(CASE WHEN before >= ts THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, until
+                                                                  ROWS UNBOUNDED PRECEDING) AS island FROM marked
+)
+SELECT min(ts) AS session_start, max(until) AS session_end, user_id, count(*) AS n_events,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM numbered GROUP BY user_id, island"""
+
+CENSUS = f"""WITH {EVENTS}, p AS (
+    SELECT event_type, {_hour("ms")} AS hour, unnest([
+        {{'path': '$.k', 'kind': 'whole number'}}, {{'path': '$.id', 'kind': 'whole number'}},
+        {{'path': '$.about', 'kind': 'object'}}, {{'path': '$.about.user', 'kind': 'whole number'}},
+        {{'path': '$.about.props', 'kind': 'object'}}, {{'path': '$.about.props.k', 'kind': 'whole number'}},
+        {{'path': '$.tags', 'kind': 'array'}}, {{'path': '$.tags[*]', 'kind': 'text'}},
+        {{'path': '$.tags[*]', 'kind': 'boolean'}}, {{'path': '$.none', 'kind': 'null'}}]) AS f FROM e)
+SELECT event_type, f.path AS path, f.kind AS kind, count(*) AS n, min(hour) AS first_hour, max(hour) AS last_hour
+FROM p GROUP BY ALL"""
+
+
 def _rejects(event_id: str) -> str:
     return f"""WITH {EVENTS}
     SELECT event_type AS topic, {shaping.nested_ride(event_id)} AS value, {REASON} AS reject_reason
@@ -236,5 +277,39 @@ ORACLES = {
     "ride_day_table_append": FLAT_RIDES,
     "rides_of_a_day": f"SELECT * FROM ({FLAT_RIDES}) WHERE event_date = '{REPORT_DAY}'",
     "two_topics_union": f"""WITH {EVENTS}, {_rides()}
-        SELECT event_type AS topic, {RIDE_COLUMNS} FROM rides WHERE event_type IN ('click', 'view')""",
+        SELECT event_type AS topic, {RIDE_COLUMNS} FROM rides WHERE event_type IN (
+            SELECT event_type FROM e WHERE event_type IS NOT NULL
+            GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 2)""",
+    "ride_join_batch": f"WITH {EVENTS}, {_rides()}, {PAIRS}",
+    "ride_join_stream": f"WITH {EVENTS}, {_rides()}, {PAIRS}",
+    "as_of_versions": f"""WITH {EVENTS}, plans AS (
+            SELECT user_id, ts, event_id AS plan_id, value AS price, ts + to_hours(k) AS until
+            FROM e WHERE event_type = 'signup' AND user_id IS NOT NULL AND ts IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY until DESC NULLS LAST, event_id DESC NULLS LAST,
+                                       value DESC NULLS LAST) = 1),
+        facts AS (SELECT * FROM e WHERE event_type IS DISTINCT FROM 'signup')
+        SELECT f.event_id, f.user_id, f.event_type,
+               CASE WHEN p.until IS NULL OR p.until > f.ts THEN p.plan_id END AS plan_id,
+               CASE WHEN p.until IS NULL OR p.until > f.ts THEN p.price END AS price
+        FROM facts f ASOF LEFT JOIN plans p ON f.user_id = p.user_id AND f.ts >= p.ts""",
+    "upsert_feed_counts": f"""{LATEST}
+        SELECT event_hour, event_type, count(*) AS n_rows,
+               CAST(sum(CAST(fare_amount AS DECIMAL(18,6))) AS DOUBLE) AS fares
+        FROM latest GROUP BY event_hour, event_type""",
+    "upsert_redriven": f"{_latest(MENDED)} SELECT * FROM latest",
+    "upsert_open_rejects": f"""WITH {EVENTS}
+        SELECT event_type AS topic, {shaping.nested_ride(shaping.UPSERT_ID)} AS value, {REASON} AS reject_reason,
+               CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset"
+        FROM e WHERE {REASON} IS NOT NULL AND NOT (k < 5 OR k BETWEEN 20 AND 24)""",
+    "routed_tables": f"""WITH {EVENTS}, {_rides()}
+        SELECT lower(regexp_replace(event_type, '[-.]', '_', 'g')) AS table_name, event_type AS topic,
+               event_hour, count(DISTINCT event_id) AS n_rows
+        FROM rides GROUP BY 1, 2, 3""",
+    "sessions_batch": SESSIONS,
+    "sessions_stream": SESSIONS,
+    "bids_sent_again": BIDS,
+    "sketched_days": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT date_trunc('hour', ts)) AS n_hours,
+               count(*) AS n_events, TRUE AS users_near, TRUE AS median_near
+        FROM events WHERE ts IS NOT NULL GROUP BY 1""",
+    "field_census_props": CENSUS,
 }

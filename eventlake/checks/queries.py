@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake import functions as L
 from eventlake import schemas as S
 from eventlake.checks import shaping
 from eventlake.operators import (
     accepted,
+    as_of,
     decode_lenient,
     decode_strict,
     enrich,
+    estimates,
+    field_census,
+    first_of_repeats,
+    hourly_sketches,
+    join_within,
     late_rows,
     latest_per_key,
+    merge_sketches,
+    open_sessions,
     rejected,
+    session_counts,
     synthesize,
     to_messages,
     windowed_counts,
@@ -28,6 +39,7 @@ from eventlake.session import configure, scratch_dir
 from eventlake.sources import landed_messages
 from eventlake.streaming import pipelines, runs
 from eventlake.streaming.append import append_to_path, read_appended, read_updated, update_to_path
+from eventlake.streaming.maintained import HourlyCounts
 from eventlake.streaming.upsert import ARRIVAL, UpsertFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,19 +190,35 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(good, S.RIDE_KEY, ARRIVAL).select(*S.RIDE_TABLE.fieldNames())
 
 
+def _arrivals(messages: DataFrame) -> list[DataFrame]:
+    """Three arrivals ten days apart; a message without a time comes with the last."""
+    days = F.dayofmonth(F.col("timestamp"))
+    slot = F.when(days <= 10, 0).when(days <= 20, 1).otherwise(2)
+    return [messages.where(slot == i) for i in range(3)]
+
+
+def _landed(messages: DataFrame, path: str) -> None:
+    """Messages as a broker's consumer would land them: a file for each partition of the topic."""
+    messages.repartition(4, "partition").write.mode("append").parquet(path)
+
+
 def _upsert_stream(
-    spark: SparkSession, sf_dir: str, label: str, compact_after: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    compact_after: int | None = None,
+    then: Callable[[UpsertFolder], object] | None = None,
 ) -> UpsertFolder:
-    """J1 as a stream: three arrivals ten days apart, each a restart from the checkpoint."""
+    """J1 as a stream: three arrivals, each a restart from the checkpoint; after each ``then``."""
     work = scratch_dir(spark, label)
     table = UpsertFolder(spark, f"{work}/table")
-    messages = _upserts(spark, sf_dir)
-    days = F.dayofmonth(F.col("timestamp"))
-    for i, arrival in enumerate((days <= 10, days.between(11, 20), days > 20)):
-        messages.where(arrival).write.mode("append").parquet(f"{work}/landing")
+    for i, arrival in enumerate(_arrivals(_upserts(spark, sf_dir))):
+        _landed(arrival, f"{work}/landing")
         pipelines.upsert_rides(
             landed_messages(spark, f"{work}/landing"), table.path, f"{work}/checkpoint", every=None
         ).awaitTermination()
+        if then:
+            then(table)
         if i == compact_after:
             table.compact()
     return table
@@ -219,8 +247,10 @@ def topic_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query and a table for each topic that landed, all at once; rows per table and hour."""
     work = scratch_dir(spark, "fanout")
     _rides(spark, sf_dir).write.partitionBy("topic").parquet(f"{work}/landing")
-    landed = spark.read.parquet(f"{work}/landing").select("topic").distinct()
-    topics = sorted(r[0] for r in landed.collect())  # as many as there are streams to start
+    schema = T.StructType([f for f in S.MESSAGE.fields if f.name != "topic"]).add("topic", "string")
+    landed = spark.read.schema(schema).parquet(f"{work}/landing").select("topic").distinct()
+    # As many as there are streams to start; a message without a topic is in none.
+    topics = sorted(r[0] for r in landed.where("topic IS NOT NULL").collect())
     tables: dict[str, UpsertFolder] = {}
 
     def start(topic: str, name: str):
@@ -229,12 +259,13 @@ def topic_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = messages.withColumn("topic", F.lit(topic))
         return tables[topic].start(messages, f"{work}/checkpoints/{name}", every=None)
 
-    runs.wait_for_all(runs.fan_out(topics, start))
-    counts = None
+    if topics:
+        runs.wait_for_all(runs.fan_out(topics, start))
+    counts = spark.createDataFrame([], "topic string, event_hour string, n_rows long")
     for topic, table in tables.items():
         per_hour = table.current().groupBy("event_hour").agg(F.count("*").alias("n_rows"))
         per_hour = per_hour.select(F.lit(topic).alias("topic"), "event_hour", "n_rows")
-        counts = per_hour if counts is None else counts.unionByName(per_hour)
+        counts = counts.unionByName(per_hour)
     return counts
 
 
@@ -275,7 +306,9 @@ def _table_append(spark: SparkSession, sf_dir: str, label: str, payload: str, st
     rows = shaping.messages(shaping.events(spark, sf_dir), payload)
     name = f"eventlake_{label}.t{work.rpartition('-')[2]}"
     for half in (0, 1):
-        rows.where(F.col("offset") % 2 == half).write.mode("append").parquet(f"{work}/landing")
+        # Offsets may be negative; a message without one comes first.
+        mine = F.pmod(F.coalesce(F.col("offset"), F.lit(0)), F.lit(2)) == half
+        rows.where(mine).write.mode("append").parquet(f"{work}/landing")
         start(
             landed_messages(spark, f"{work}/landing"),
             name,
@@ -434,11 +467,231 @@ def rides_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_partitioned_readback(spark, sf_dir).where(F.col("event_date") == REPORT_DAY)
 
 
+def _largest_topics(messages: DataFrame) -> list[str]:
+    """The two topics with the most messages."""
+    sizes = messages.where("topic IS NOT NULL").groupBy("topic").count()
+    found = [r[0] for r in sizes.orderBy(F.desc("count"), "topic").limit(2).collect()]
+    return found + [None] * (2 - len(found))
+
+
 @query
 def two_topics_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two topics decoded apart, each filtered before its decode, and put together."""
-    parts = [
-        accepted(nested_ride_rows(_rides(spark, sf_dir).where(F.col("topic") == topic)))
-        for topic in ("click", "view")
-    ]
+    """The two largest topics decoded apart, each filtered before its decode, and put together."""
+    rides = _rides(spark, sf_dir)
+    parts = [accepted(nested_ride_rows(rides.where(F.col("topic") == topic))) for topic in _largest_topics(rides)]
     return parts[0].unionByName(parts[1]).select("topic", *S.RIDE_TABLE.fieldNames())
+
+
+# -- joins by time -------------------------------------------------------------------------
+
+JOIN_WITHIN = dt.timedelta(hours=6)
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(
+        F.col("left.event_id").alias("event_id"),
+        F.col("left.ride_id").alias("ride_id"),
+        F.col("left.event_timestamp").alias("event_timestamp"),
+        F.col("right.event_id").alias("later_id"),
+        F.col("right.event_timestamp").alias("later_timestamp"),
+    )
+
+
+def _timed(rides: DataFrame, topic: str | None) -> DataFrame:
+    mine = accepted(nested_ride_rows(rides.where(F.col("topic") == topic)))
+    return mine.withColumn("at", F.timestamp_millis("event_timestamp"))
+
+
+def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
+    return join_within(left, right, "ride_id", "at", "at", after=JOIN_WITHIN, lateness=LATENESS, outer=True)
+
+
+@query
+def ride_join_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the largest topic with those of the next one, same ride, up to six hours later."""
+    rides = _rides(spark, sf_dir)
+    return _pairs(_joined(*[_timed(rides, topic) for topic in _largest_topics(rides)]))
+
+
+@query
+def ride_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a join of two streams, in three runs; the last brings a far later event of
+    each topic, as a heartbeat, so that all that waits for a partner is given up."""
+    work = scratch_dir(spark, "ridejoin")
+    rides = _rides(spark, sf_dir)
+    topics = _largest_topics(rides)
+    end = shaping.heartbeats(rides, topics)
+    # Arrivals in the order of event time, so that none is late.
+    order = _arrivals(rides.where(F.col("topic").isin(*[t for t in topics if t is not None])))
+    out = S.struct_of(())
+    for i, arrival in enumerate([*order, end]):
+        _landed(arrival, f"{work}/landing")
+        if i in (0, 1, 3):
+            stream = [_timed(landed_messages(spark, f"{work}/landing"), topic) for topic in topics]
+            pairs = _pairs(_joined(*stream))
+            out = pairs.schema
+            query = append_to_path(pairs, out, f"{work}/out", f"{work}/checkpoint", every=None, stateful=True)
+            query.awaitTermination()
+            if late := late_rows(query):
+                raise RuntimeError(f"{late} rows came too late to be joined")
+    return read_appended(spark, out, f"{work}/out")
+
+
+@query
+def as_of_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's plan as of the event. A signup is a new version of the plan, in
+    force to the next one or for ``k`` hours at most."""
+    events = shaping.events(spark, sf_dir)
+    plans = events.where("event_type = 'signup'")
+    plans = plans.select("user_id", "ts", (F.col("ts") + F.make_dt_interval(hours=F.col("k"))).alias("until"), "event_id", "value")
+    facts = events.where("event_type IS DISTINCT FROM 'signup'").select("event_id", "user_id", "event_type", "ts")
+    rows = as_of(facts, plans.withColumnsRenamed({"event_id": "plan_id", "value": "price"}), "user_id", "ts", "ts", until="until")
+    return rows.select("event_id", "user_id", "event_type", F.col("version.plan_id").alias("plan_id"), F.col("version.price").alias("price"))
+
+
+# -- the upsert table's feed, rejects and routes -------------------------------------------
+
+
+@query
+def upsert_feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and fares per hour and type, kept from the change feed through three batches, a
+    compaction and a fold."""
+    counts = HourlyCounts(spark, scratch_dir(spark, "counts"))
+    _upsert_stream(spark, sf_dir, "feed", compact_after=0, then=counts.advance)
+    counts.fold()
+    return counts.read().select("event_hour", "event_type", "n_rows", F.col("fares").cast("double").alias("fares"))
+
+
+def _mended(refused: DataFrame) -> DataFrame:
+    """Close objects that were cut off, take objects out of arrays."""
+    value, reason = F.col("value"), F.col("reject_reason")
+    whole = F.when(reason == "unparseable", F.concat(value, F.lit("}")))
+    whole = whole.when(reason == "not_object", F.substring(value, 2, 1 << 30).substr(F.lit(1), F.length(value) - 2))
+    return refused.withColumn("value", whole.otherwise(value))
+
+
+def _redriven(spark: SparkSession, sf_dir: str, label: str) -> UpsertFolder:
+    """Two arrivals, a redrive of what was refused by then, a third arrival, and another redrive."""
+    work = scratch_dir(spark, label)
+    table = UpsertFolder(spark, f"{work}/table")
+    for i, arrival in enumerate([*_arrivals(_upserts(spark, sf_dir)), None]):
+        if arrival is not None:
+            _landed(arrival, f"{work}/landing")
+        pipelines.upsert_rides(
+            landed_messages(spark, f"{work}/landing"), table.path, f"{work}/checkpoint", every=None
+        ).awaitTermination()
+        if i in (1, 2):
+            table.redrive(_mended)
+    return table
+
+
+@query
+def upsert_redriven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after rejects were repaired and read again, each at its place in the order."""
+    return _redriven(spark, sf_dir, "redriven").current()
+
+
+@query
+def upsert_open_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What no repair has mended, where and when it came."""
+    rows = _redriven(spark, sf_dir, "open").open_rejects()
+    return rows.select("topic", "value", "reject_reason", "partition", "offset")
+
+
+@query
+def routed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream, a table for each topic; the least topic first comes with the second run."""
+    work = scratch_dir(spark, "routed")
+    table = UpsertFolder(spark, f"{work}/tables", routed=True)
+    rides = _rides(spark, sf_dir)
+    late = F.col("topic").eqNullSafe(F.lit(rides.agg(F.min("topic")).first()[0]))
+    for arrival in (~late, late):
+        _landed(rides.where(arrival), f"{work}/landing")
+        table.start(landed_messages(spark, f"{work}/landing"), f"{work}/checkpoint", every=None).awaitTermination()
+    rows = table.current().groupBy("table_name", "event_hour").agg(F.count("*").alias("n_rows"))
+    return rows.join(table.topics(), "table_name").select("table_name", "topic", "event_hour", "n_rows")
+
+
+# -- sessions, repeats, sketches, census ---------------------------------------------------
+
+
+def _sessions(events: DataFrame) -> DataFrame:
+    gap = F.when(F.col("event_type") == "purchase", "6 hours").when(F.col("event_type") == "error", "30 minutes")
+    timed = events.select(F.col("ts").cast("timestamp").alias("at"), "user_id", "event_type", "value")
+    amount = F.col("value").cast("decimal(18,2)")
+    return session_counts(timed, "at", "user_id", gap.otherwise("2 hours"), amount, lateness=LATENESS)
+
+
+def _plain_sessions(sessions: DataFrame) -> DataFrame:
+    return sessions.select(
+        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+        "user_id",
+        "n_events",
+        F.col("total").cast("double").alias("total"),
+    )
+
+
+@query
+def sessions_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's sessions, which an event keeps open for as long as its type says."""
+    return _plain_sessions(_sessions(shaping.table(spark, sf_dir, "events")))
+
+
+@query
+def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on a stream: the sessions that were closed, and those that its state still holds."""
+    work = scratch_dir(spark, "sessions")
+    closed = _plain_sessions(_sessions(_event_stream(spark, sf_dir)))
+    query = append_to_path(closed, closed.schema, f"{work}/out", f"{work}/checkpoint", every=None, stateful=True)
+    query.awaitTermination()
+    if late := late_rows(query):
+        raise RuntimeError(f"{late} rows came too late for their session")
+    done = read_appended(spark, closed.schema, f"{work}/out")
+    return done.unionByName(_plain_sessions(open_sessions(spark, f"{work}/checkpoint", "user_id")))
+
+
+@query
+def bids_sent_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bid is sent twice, the copy a minute later; one of each is appended."""
+    work = scratch_dir(spark, "again")
+    rows = shaping.messages(shaping.events(spark, sf_dir), shaping.BID)
+    again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 MINUTE"))
+    _landed(rows.unionByName(again), f"{work}/landing")
+    first = first_of_repeats(landed_messages(spark, f"{work}/landing"), ["topic", "value"], "timestamp", LATENESS)
+    pipelines.append_bids(first, f"{work}/table", f"{work}/checkpoint", every=None, stateful=True).awaitTermination()
+    out = read_appended(spark, S.BID_TABLE, f"{work}/table")
+    return out.withColumn("is_stamped", F.col("ingestion_time").isNotNull()).drop("ingestion_time")
+
+
+@query
+def sketched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and values per day from stored hourly sketches, next to what is exact: whether the
+    estimates are within three standard errors, and how many hours and events they stand for."""
+    path = scratch_dir(spark, "sketches")
+    events = shaping.events(spark, sf_dir).where("ts IS NOT NULL")
+    hour = F.date_format(F.date_trunc("hour", F.col("ts")), "yyyy-MM-dd-HH")
+    hourly_sketches(events, hour, F.col("user_id"), F.col("value")).write.parquet(path)
+    day = F.substring("event_hour", 1, 10).alias("day")
+    stored = spark.read.parquet(path)
+    daily = estimates(merge_sketches(stored, day)).join(stored.groupBy(day).agg(F.count("*").alias("n_hours")), "day")
+    exact = events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.countDistinct("user_id").alias("users"),
+        F.expr("percentile(value, array(0.44, 0.56))").alias("middle"),
+    )
+    rows = daily.join(exact, "day")
+    users = F.abs(F.col("n_members") - F.col("users")) <= F.greatest(F.lit(0.05) * F.col("users"), F.lit(0.5))
+    middle = F.col("p50").between(F.col("middle")[0], F.col("middle")[1])
+    return rows.select("day", "n_hours", "n_events", users.alias("users_near"), middle.alias("median_near"))
+
+
+@query
+def field_census_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of ``props`` and of nested payloads made of all columns, by event type."""
+    events = shaping.events(spark, sf_dir).join(shaping.table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
+    nested = F.concat(
+        F.lit('{"id":'), F.col("event_id"), F.lit(',"about":{"user":'), F.col("user_id"), F.lit(',"props":'),
+        F.col("props"), F.lit('},"tags":["'), F.col("event_type"), F.lit('",true],"none":null}'),
+    )
+    payloads = events.select("event_type", "ms", F.explode(F.array("props", nested)).alias("payload"))
+    return field_census(payloads, "payload", L.hour_bucket(F.col("ms")), ["event_type"])

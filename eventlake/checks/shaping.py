@@ -142,3 +142,26 @@ def messages(rows: DataFrame, payload: str, *keep: str) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+def heartbeats(rides: DataFrame, topics: list[str | None]) -> DataFrame:
+    """A message of each topic, ten days after all others, of a ride that no other one has."""
+    last = rides.agg(F.max("timestamp").alias("at"), F.max("offset").alias("offset"))
+    topic = F.explode(F.array(*[F.lit(t).cast("string") for t in topics])).alias("topic")
+    late = last.where("at IS NOT NULL").select(F.expr("at + INTERVAL 10 DAYS").alias("timestamp"), "offset", topic)
+    payload = F.to_json(
+        F.struct(
+            F.lit("end").alias("event_id"),
+            F.lit("end").alias("user_id"),
+            F.lit("end").alias("event_type"),
+            F.unix_millis("timestamp").alias("timestamp"),
+            F.concat(F.lit("end_"), F.col("topic")).alias("ride_id"),
+            F.struct(
+                F.lit(1.0).alias("surge_multiplier"),
+                F.lit(2).alias("estimated_wait_minutes"),
+                F.lit(100).alias("fare_amount"),
+                F.lit(4.0).alias("driver_rating"),
+            ).alias("metadata"),
+        )
+    )
+    return late.select(payload.alias("value"), "topic", F.lit(0).alias("partition"), "offset", "timestamp")

@@ -27,10 +27,15 @@ def upsert_rides(
 
 
 def append_bids(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = COMMIT_INTERVAL
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    every: str | None = COMMIT_INTERVAL,
+    stateful: bool = False,
 ) -> StreamingQuery:
-    """Flat bid events, appended."""
-    return append_to_path(bid_rows(messages), S.BID_TABLE, path, checkpoint, every=every)
+    """Flat bid events, appended. ``stateful``: repeats were taken out of ``messages``."""
+    return append_to_path(bid_rows(messages), S.BID_TABLE, path, checkpoint, every=every, stateful=stateful)
 
 
 def append_rides_by_day(

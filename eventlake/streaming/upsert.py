@@ -12,6 +12,11 @@ micro-batch adds its rows as changes and the reader keeps the last one of each k
   without it, and a batch that has it is never written again.
 - ``base/upto=N/event_hour=H`` and ``base_done/upto=N``: the hours that ``compact`` rewrote,
   one row per key, and the list of those hours.
+- ``redrive``: repaired messages, which the stream reads beside its own source.
+
+A **routed** folder (``routed=True``) holds a table for each topic: ``table_name``, by the naming rule
+of topics, is part of every key and one more level of folders, and a batch still is one write with
+one marker. A topic that was never seen before gets its table with its first batch.
 
 **Iceberg table** (:func:`upsert_to_table`): the batch is cut to its last row per key, then
 merged.
@@ -19,7 +24,7 @@ merged.
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,15 +33,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from eventlake import schemas as S
+from eventlake.functions.names import table_name_column
 from eventlake.operators.decode import MESSAGE, REASON, accepted
 from eventlake.operators.upsert import latest_per_key
 from eventlake.plans.events import nested_ride_rows
 from eventlake.session import SETTINGS, SPREAD
+from eventlake.sources.files import landed_messages
+from eventlake.streaming import owners
 from eventlake.streaming.runs import COMMIT_INTERVAL, with_trigger
 from eventlake.streaming.tables import PARQUET_OPTIONS, REJECTED, conform, rows_near
 
 ARRIVAL = ("timestamp", "partition", "offset")
 HOUR = "event_hour"
+TABLE = "table_name"
+NO_TOPIC, SHARED = "no_topic", "shares_table"
 
 _ROW = [f for f in S.RIDE_TABLE.fields if f.name != HOUR]
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -46,9 +56,14 @@ _HOUR = T.StructField(HOUR, T.StringType())
 _N = T.StructField("rows", T.LongType())
 _BAD = T.StructField("rejected", T.LongType())
 
-OWNER = T.StructType([T.StructField("stream_id", T.StringType())])
-CHANGES_DONE = T.StructType([_N, _BAD, _BATCH])
-BASE_DONE = T.StructType([_HOUR, _N, _UPTO])
+_TABLE = T.StructField(TABLE, T.StringType())
+_TOPIC = T.StructField("topic", T.StringType())
+
+CHANGES_DONE = T.StructType([_TABLE, _TOPIC, _N, _BAD, _BATCH])
+BASE_DONE = T.StructType([_TABLE, _HOUR, _N, _UPTO])
+# What was published again: the repaired message, and the payload that had been refused.
+REDRIVEN = T.StructType([*S.MESSAGE.fields, T.StructField("refused", T.StringType())])
+_WHERE_FROM = ("topic", "partition", "offset", "timestamp")
 
 
 def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -65,40 +80,62 @@ def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
 class UpsertFolder:
     """An upsert table of nested ride events in a folder, written by one stream for its whole life.
 
-    ``order`` says which of two rows of a key is the later one, within a batch: columns of the
-    messages or of the table. Between batches the later batch wins.
+    ``order`` says which of two rows of a key is the later one, whatever batches they came in:
+    columns of the messages or of the table. Of rows that are alike in all of them the one of the
+    later batch is. So a message that comes again, or comes late because it had to be repaired,
+    never beats one that is newer than itself.
     """
 
     spark: SparkSession
     path: str
     order: tuple[str, ...] = ARRIVAL
+    routed: bool = False
 
     @property
     def _extra(self) -> list[T.StructField]:
-        """Order columns that the table itself does not have."""
+        """Where a row came from, and order columns that the table itself does not have."""
         kinds = {f.name: f for f in S.MESSAGE.fields}
-        return [kinds[name] for name in self.order if name not in S.RIDE_TABLE.fieldNames()]
+        more = [name for name in self.order if name not in S.RIDE_TABLE.fieldNames()]
+        return [kinds[name] for name in dict.fromkeys([*more, *ARRIVAL])]
+
+    @property
+    def _tags(self) -> list[str]:
+        return [TABLE] if self.routed else []
+
+    @property
+    def key(self) -> tuple[str, ...]:
+        return (*self._tags, *S.RIDE_KEY)
 
     @property
     def _state(self) -> list[str]:
-        return [f.name for f in _ROW] + [HOUR, *[f.name for f in self._extra], "batch_id"]
+        topic = ["topic"] if self.routed else []
+        return [*self._tags, *topic, *[f.name for f in _ROW], HOUR, *[f.name for f in self._extra], "batch_id"]
+
+    @property
+    def _ranking(self) -> list[str]:
+        """What orders the rows of a key, the last word the row itself, so that there are no ties."""
+        first = [*self.order, "batch_id"]
+        return [*first, *[name for name in self._state if name not in {*first, *self.key}]]
 
     @property
     def _changes_schema(self) -> T.StructType:
-        return T.StructType(_ROW + [_HOUR] + self._extra + S.REJECTS.fields + [_BATCH, _ROUTE])
+        tag = [_TABLE] if self.routed else []
+        return T.StructType(_ROW + [_HOUR] + self._extra + S.REJECTS.fields + [_BATCH, *tag, _ROUTE])
 
     @property
     def _base_schema(self) -> T.StructType:
-        return T.StructType(_ROW + self._extra + [_BATCH, _UPTO, _HOUR])
+        tags = ([_TABLE], [_TOPIC]) if self.routed else ([], [])
+        return T.StructType(_ROW + tags[1] + self._extra + [_BATCH, _UPTO, *tags[0], _HOUR])
 
     def create(self) -> UpsertFolder:
         """K1: lay out the table if it is absent."""
         layout = {
-            "owner": (OWNER, ()),
-            "changes": (self._changes_schema, ("batch_id", "route")),
+            "owner": (owners.OWNER, ()),
+            "changes": (self._changes_schema, ("batch_id", *self._tags, "route")),
             "changes_done": (CHANGES_DONE, ("batch_id",)),
-            "base": (self._base_schema, ("upto", HOUR)),
+            "base": (self._base_schema, ("upto", *self._tags, HOUR)),
             "base_done": (BASE_DONE, ("upto",)),
+            "redrive": (REDRIVEN, ()),
         }
         for name, (schema, partition_by) in layout.items():
             empty = self.spark.createDataFrame([], schema)
@@ -111,19 +148,22 @@ class UpsertFolder:
     # -- writing ---------------------------------------------------------------------------
 
     def claim(self, stream_id: str) -> None:
-        """Bind the table to a stream; raise if it belongs to another one.
+        """Bind the table to a stream; raise if it belongs to another one."""
+        owners.claim(self.spark, self.path, f"{self.path}/owner", stream_id)
+
+    def _routes(self, decoded: DataFrame) -> DataFrame:
+        """``decoded`` with its table; rows without a topic, or of one whose table is another's, are bad.
 
-        Of two that claim an empty table at once both see two owners, and both stop.
+        Of topics that share a table name the one that came first has the table. A row of a new
+        table keeps its payload, in case that another topic of the same batch has it.
         """
-        if not self._read("owner", OWNER).head(1):
-            mine = self.spark.createDataFrame([(stream_id,)], OWNER)
-            mine.write.mode("append").parquet(f"{self.path}/owner")
-        owners = {r[0] for r in self._read("owner", OWNER).distinct().head(2)}
-        if owners != {stream_id}:
-            raise ValueError(
-                f"{self.path} is written by stream {sorted(owners - {stream_id})[0]}, not {stream_id}: "
-                "a table has one checkpoint for its whole life; start a new table or go on with that one"
-            )
+        known = self.topics().select(F.col(TABLE).alias("__known"), F.col("topic").alias("__owner"))
+        named = decoded.withColumn(TABLE, table_name_column(F.col("topic")))
+        named = named.join(known, F.col(TABLE) == F.col("__known"), "left")
+        reason = F.when(F.col("topic").isNull(), NO_TOPIC).when(F.col("__owner") != F.col("topic"), SHARED)
+        named = named.withColumn(REASON, F.coalesce(REASON, reason))
+        kept = F.when(F.col(REASON).isNotNull() | F.col("__owner").isNull(), F.col("value"))
+        return named.withColumn("__kept", kept)
 
     def write_batch(self, decoded: DataFrame, batch_id: int) -> None:
         """One micro-batch of strictly decoded rows, good and bad, in one pass.
@@ -133,42 +173,51 @@ class UpsertFolder:
         """
         if self._done().where(F.col("batch_id") == batch_id).head(1):
             return
+        if self.routed:
+            decoded = self._routes(decoded)
         bad = F.col(REASON).isNotNull()
+        given = {c: F.col(f"`{c}`") for c in decoded.columns}
         rows = decoded.select(
             *[f.name for f in _ROW],
             F.when(~bad, F.col(HOUR)).alias(HOUR),
-            *[f.name for f in self._extra],
-            F.col(f"{MESSAGE}.topic").alias("topic"),
-            F.col(f"{MESSAGE}.value").alias("value"),
+            *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in self._extra],
+            (F.col("topic") if self.routed else F.col(f"{MESSAGE}.topic")).alias("topic"),
+            (F.col("__kept") if self.routed else F.col(f"{MESSAGE}.value")).alias("value"),
             REASON,
+            *self._tags,
             F.when(bad, "rejected").otherwise("accepted").alias("route"),
         )
-        near = rows_near(rows, ["route", HOUR]).sortWithinPartitions("route", HOUR, "event_id")
+        near = rows_near(rows, [*self._tags, "route", HOUR])
+        near = near.sortWithinPartitions(*self._tags, "route", HOUR, "event_id")
         folder = f"{self.path}/changes/batch_id={batch_id}"
-        _overwrite(near, folder, "route")
+        _overwrite(near, folder, *self._tags, "route")
         # Row counts come from the footers: no column is read.
-        written = self.spark.read.schema(self._changes_schema).parquet(folder)
-        done = written.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("route") == "rejected").alias("rejected")
-        )
+        reader = self.spark.read.schema(self._changes_schema).option("basePath", f"{self.path}/changes")
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("route") == "rejected").alias("rejected")]
+        nowhere = [F.lit(None).cast("string").alias(name) for name in (TABLE, "topic")]
+        if self.routed:
+            done = reader.parquet(folder).groupBy(TABLE, "topic").agg(*counts)
+            done = done.unionByName(self.spark.range(1).select(*nowhere, F.lit(0).alias("rows"), F.lit(0).alias("rejected")))
+        else:
+            done = reader.parquet(folder).agg(*counts).select(*nowhere, "rows", "rejected")
         _overwrite(done.coalesce(1), f"{self.path}/changes_done/batch_id={batch_id}")
 
     def start(
         self, messages: DataFrame, checkpoint: str, *, every: str | None = COMMIT_INTERVAL
     ) -> StreamingQuery:
-        """Decode a stream of messages and upsert it here."""
+        """Decode a stream of messages, and what ``redrive`` publishes, and upsert it here."""
         self.create()
         claimed = []
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            table = UpsertFolder(batch.sparkSession, self.path, self.order)
+            table = UpsertFolder(batch.sparkSession, self.path, self.order, self.routed)
             if not claimed:
-                # The checkpoint tells its stream's id, the same one after every restart.
-                metadata = table.spark.read.text(f"{checkpoint}/metadata", wholetext=True).head()[0]
-                table.claim(json.loads(metadata)["id"])
+                table.claim(owners.stream_id(table.spark, checkpoint))
                 claimed.append(True)
             table.write_batch(nested_ride_rows(batch), batch_id)
 
+        again = landed_messages(self.spark, f"{self.path}/redrive")
+        messages = messages.unionByName(again.select(*[c for c in S.MESSAGE.names]), allowMissingColumns=True)
         writer = messages.writeStream.foreachBatch(write)
         return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
@@ -180,48 +229,142 @@ class UpsertFolder:
     def _compacted(self) -> DataFrame:
         return self._read("base_done", BASE_DONE)
 
-    def _upto(self) -> int:
-        latest = self._compacted().agg(F.max("upto")).first()[0]
+    def _upto(self, at_most: int | None = None) -> int:
+        """The last batch that is compacted, of compactions up to ``at_most``; -1 without any."""
+        done = self._compacted()
+        done = done if at_most is None else done.where(F.col("upto") <= at_most)
+        latest = done.agg(F.max("upto")).first()[0]
         return -1 if latest is None else latest
 
-    def _changes(self, route: str, after: int) -> DataFrame:
-        """Rows of finished batches later than ``after``; other batches' files are not opened."""
-        later = F.col("batch_id") > after
-        rows = self._read("changes", self._changes_schema).where(later & (F.col("route") == route))
-        return rows.join(self._done().where(later).select("batch_id"), "batch_id", "left_semi")
+    def last_batch(self) -> int:
+        """The last finished batch; -1 without any."""
+        latest = self._done().agg(F.max("batch_id")).first()[0]
+        return -1 if latest is None else latest
+
+    def _changes(self, route: str, after: int, upto: int | None = None) -> DataFrame:
+        """Rows of finished batches in (after, upto]; other batches' files are not opened."""
+        wanted = F.col("batch_id") > after
+        if upto is not None:
+            wanted = wanted & (F.col("batch_id") <= upto)
+        rows = self._read("changes", self._changes_schema).where(wanted & (F.col("route") == route))
+        rows = rows.join(self._done().where(wanted).select("batch_id").distinct(), "batch_id", "left_semi")
+        if self.routed and route == "accepted":
+            # The first topic of a table has it; rows that came before that was known are not in it.
+            rows = rows.join(self.topics(), [TABLE, "topic"], "left_semi")
+        return rows
 
     def _base(self, upto: int) -> DataFrame:
-        """The newest rewrite of each compacted hour."""
-        newest = self._compacted().groupBy(HOUR).agg(F.max("upto").alias("upto"))
+        """The newest rewrite, up to ``upto``, of each compacted hour."""
+        hour = [*self._tags, HOUR]
+        done = self._compacted().where(F.col("upto") <= upto)
+        newest = done.groupBy(*hour).agg(F.max("upto").alias("upto"))
         # The plain bound keeps the files of an unfinished compaction out of the scan.
         base = self._read("base", self._base_schema).where(F.col("upto") <= upto)
-        return base.join(newest, [HOUR, "upto"], "left_semi").select(*self._state)
+        return base.join(newest, [*hour, "upto"], "left_semi").select(*self._state)
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, S.RIDE_KEY, ("batch_id", *self.order))
+        return latest_per_key(rows, self.key, self._ranking)
 
     def _merged(self, upto: int) -> tuple[DataFrame, DataFrame]:
         """(last row per key of every hour touched after ``upto``, those hours)."""
+        hour = [*self._tags, HOUR]
         fresh = self._changes("accepted", upto).select(*self._state)
         if upto < 0:
-            return self._latest(fresh), fresh.select(HOUR).distinct()
-        touched = fresh.select(HOUR).distinct()
-        before = self._base(upto).join(touched, HOUR, "left_semi")
+            return self._latest(fresh), fresh.select(*hour).distinct()
+        touched = fresh.select(*hour).distinct()
+        before = self._base(upto).join(touched, hour, "left_semi")
         return self._latest(fresh.unionByName(before)), touched
 
     def current(self) -> DataFrame:
         """The table as it stands. Hours not touched since the last compaction hold one
         row per key already and are read as they are; only touched hours are shuffled. A filter
-        on ``event_hour`` reaches every scan."""
+        on ``event_hour`` reaches every scan. A routed folder shows all its tables, told apart by
+        ``table_name``; a filter on it reads that table's files only."""
         upto = self._upto()
         state, touched = self._merged(upto)
         if upto >= 0:
-            state = state.unionByName(self._base(upto).join(touched, HOUR, "left_anti"))
-        return state.select(*S.RIDE_TABLE.fieldNames())
+            state = state.unionByName(self._base(upto).join(touched, [*self._tags, HOUR], "left_anti"))
+        return state.select(*self._tags, *S.RIDE_TABLE.fieldNames())
+
+    def topics(self) -> DataFrame:
+        """(table_name, topic) of a routed folder: the topic that came first has the table."""
+        seen = self._done().where(F.col(TABLE).isNotNull() & F.col("topic").isNotNull())
+        return seen.groupBy(TABLE).agg(F.min_by("topic", F.struct("batch_id", "topic")).alias("topic"))
+
+    def feed(self, after: int, upto: int) -> DataFrame:
+        """What the batches in (after, upto] changed: the key, and the row ``before`` and ``after``.
+
+        ``before`` is NULL for a new key. A key that was written but is as it was has no row, nor has
+        one whose new rows are all older than what it had. The feed is read from the state as of
+        ``after``, of the hours that were touched only; it is the same one after later batches,
+        compactions and replays.
+        """
+        hour, row = [*self._tags, HOUR], [*self._tags, *S.RIDE_TABLE.fieldNames()]
+        fresh = self._changes("accepted", after, upto).select(*self._state, F.lit(True).alias("__new"))
+        touched = fresh.select(*hour).distinct()
+        base = self._upto(after)
+        old = self._changes("accepted", base, after).select(*self._state)
+        if base >= 0:
+            old = old.unionByName(self._base(base))
+        old = old.join(touched, hour, "left_semi").withColumn("__new", F.lit(False))
+        image = F.struct(*self._ranking, *[c for c in row if c not in self._ranking])
+        images = old.unionByName(fresh).groupBy(*self.key).agg(
+            F.max(F.when(~F.col("__new"), image)).alias("b"),
+            F.max(image).alias("a"),
+            F.max("__new").alias("__new"),
+        )
+        shown = {
+            name: F.when(F.col(f"{source}.batch_id").isNotNull(), F.struct(*[F.col(f"{source}.{c}").alias(c) for c in row]))
+            for name, source in (("before", "b"), ("after", "a"))
+        }
+        images = images.where("__new").select(*self.key, *[c.alias(name) for name, c in shown.items()])
+        return images.where(~F.col("before").eqNullSafe(F.col("after")))
 
     def rejects(self) -> DataFrame:
         """Payloads that were refused, and why."""
-        return self._changes("rejected", -1).select(*S.REJECTS.fieldNames())
+        return self.rejected_messages().select(*S.REJECTS.fieldNames())
+
+    def rejected_messages(self) -> DataFrame:
+        """Refused messages as they came, with the reason and their batch."""
+        columns = [*S.MESSAGE.names, REASON, "batch_id"]
+        bad = self._changes("rejected", -1).select(*columns)
+        if self.routed:
+            # Rows of a new table whose name another topic of that batch had.
+            good = self._read("changes", self._changes_schema).where("route = 'accepted' AND value IS NOT NULL")
+            good = good.join(self._done().select("batch_id").distinct(), "batch_id", "left_semi")
+            lost = good.join(self.topics(), [TABLE, "topic"], "left_anti").withColumn(REASON, F.lit(SHARED))
+            bad = bad.unionByName(lost.select(*columns))
+        return bad
+
+    # -- redrive ---------------------------------------------------------------------------
+
+    def open_rejects(self) -> DataFrame:
+        """Refused messages that were not published again so far."""
+        done = self._read("redrive", REDRIVEN).select(*_WHERE_FROM, "refused")
+        bad = self.rejected_messages().alias("r")
+        done = done.alias("d")
+        same = F.col("r.value").eqNullSafe(F.col("d.refused"))
+        for name in _WHERE_FROM:
+            same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"d.{name}"))
+        return bad.join(done, same, "left_anti")
+
+    def redrive(self, repair: Callable[[DataFrame], DataFrame]) -> int:
+        """Publish repaired messages for the stream to read again; returns how many.
+
+        ``repair`` takes refused messages, with ``reject_reason``, and changes their ``value``. Only
+        those that the decode now accepts are published, at the place and time at which they first
+        came, so a repaired row takes its turn in the order of arrival and not the last one. The
+        others stay open. What was published is not open again; if a run is lost half way, its next
+        one may publish a message twice, which changes no row.
+        """
+        refused = self.open_rejects().withColumn("refused", F.col("value"))
+        decoded = accepted(nested_ride_rows(repair(refused).select(*REDRIVEN.names)))
+        if self.routed:
+            decoded = decoded.where(F.col("topic").isNotNull())
+        before = self._read("redrive", REDRIVEN).count()
+        rows = conform(decoded, REDRIVEN)
+        rows.write.mode("append").options(**PARQUET_OPTIONS).parquet(f"{self.path}/redrive")
+        return self._read("redrive", REDRIVEN).count() - before
 
     # -- upkeep ----------------------------------------------------------------------------
 
@@ -232,7 +375,7 @@ class UpsertFolder:
         ones, so a lost run can simply be repeated. Not to be run twice at the same time. The
         settings of the caller's session stay as they are.
         """
-        own = UpsertFolder(self.spark.newSession(), self.path, self.order)
+        own = UpsertFolder(self.spark.newSession(), self.path, self.order, self.routed)
         for key, value in {**SETTINGS, **SPREAD}.items():
             own.spark.conf.set(key, value)
         own._compact()
@@ -242,15 +385,18 @@ class UpsertFolder:
         last = self._done().where(F.col("batch_id") > before).agg(F.max("batch_id")).first()[0]
         if last is None:
             return
+        hour = [*self._tags, HOUR]
         folder = f"{self.path}/base/upto={last}"
         # Batches that finish meanwhile are left to the next compaction.
-        fresh = self._changes("accepted", before).where(F.col("batch_id") <= last).select(*self._state)
-        touched = fresh.select(HOUR).distinct()
-        merged = self._latest(fresh.unionByName(self._base(before).join(touched, HOUR, "left_semi")))
-        _overwrite(rows_near(merged, [HOUR]), folder, HOUR)
+        fresh = self._changes("accepted", before, last).select(*self._state)
+        touched = fresh.select(*hour).distinct()
+        merged = self._latest(fresh.unionByName(self._base(before).join(touched, hour, "left_semi")))
+        _overwrite(rows_near(merged, hour), folder, *hour)
         reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
-        hours = reader.parquet(folder).groupBy(HOUR).agg(F.count(F.lit(1)).alias("rows"))
-        _overwrite(hours.coalesce(1), f"{self.path}/base_done/upto={last}")
+        hours = reader.parquet(folder).groupBy(*hour).agg(F.count(F.lit(1)).alias("rows"))
+        if not self.routed:
+            hours = hours.withColumn(TABLE, F.lit(None).cast("string"))
+        _overwrite(hours.select(TABLE, HOUR, "rows").coalesce(1), f"{self.path}/base_done/upto={last}")
 
 
 def _same(table: str, columns: tuple[str, ...]) -> Column:
@@ -265,7 +411,11 @@ def upsert_to_table(
     *,
     every: str | None = COMMIT_INTERVAL,
 ) -> StreamingQuery:
-    """J1 into an Iceberg table, with MERGE. Both merges may be replayed without effect."""
+    """J1 into an Iceberg table, with MERGE. Both merges may be replayed without effect.
+
+    The table has no columns of arrival, so order holds within a batch only: rows of an older batch
+    that comes again after a newer one win. ``UpsertFolder`` compares orders between batches, too.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = nested_ride_rows(batch).persist()

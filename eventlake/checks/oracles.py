@@ -22,8 +22,9 @@ def _day(seconds: str) -> str:
     return f"strftime(make_timestamp(({seconds}) * 1000000), '%Y-%m-%d')"
 
 
-# Which payloads a strict ride decode refuses, and why.
+# Which payloads a strict ride decode refuses, and why. A row without values has no payload.
 REASON = """CASE
+    WHEN k IS NULL THEN 'unparseable'
     WHEN k < 5 THEN 'unparseable'
     WHEN k BETWEEN 20 AND 24 THEN 'not_object'
     WHEN k BETWEEN 15 AND 19 THEN 'missing:event_id'
@@ -36,7 +37,7 @@ _METADATA = """CAST(CASE WHEN k BETWEEN 35 AND 39 THEN 0 ELSE value END AS DOUBL
     k AS estimated_wait_minutes,
     CAST(CASE WHEN k BETWEEN 35 AND 39 THEN 0 ELSE event_id % 701 + 100 END AS DOUBLE)
         AS fare_amount,
-    CAST('4.' || CAST(user_id % 10 AS STRING) AS DOUBLE) AS driver_rating"""
+    CAST('4.' || CAST(abs(user_id) % 10 AS STRING) AS DOUBLE) AS driver_rating"""
 
 
 def _rides(event_id: str = ID, where: str = f"{REASON} IS NULL") -> str:
@@ -90,12 +91,13 @@ SELECT min(ts) AS session_start, max(until) AS session_end, user_id, count(*) AS
 FROM numbered GROUP BY user_id, island"""
 
 CENSUS = f"""WITH {EVENTS}, p AS (
-    SELECT event_type, {_hour("ms")} AS hour, unnest([
+    SELECT event_type, {_hour("ms")} AS hour, unnest(CASE WHEN k IS NULL THEN
+        [{{'path': '$', 'kind': 'unreadable'}}, {{'path': '$', 'kind': 'unreadable'}}] ELSE [
         {{'path': '$.k', 'kind': 'whole number'}}, {{'path': '$.id', 'kind': 'whole number'}},
         {{'path': '$.about', 'kind': 'object'}}, {{'path': '$.about.user', 'kind': 'whole number'}},
         {{'path': '$.about.props', 'kind': 'object'}}, {{'path': '$.about.props.k', 'kind': 'whole number'}},
         {{'path': '$.tags', 'kind': 'array'}}, {{'path': '$.tags[*]', 'kind': 'text'}},
-        {{'path': '$.tags[*]', 'kind': 'boolean'}}, {{'path': '$.none', 'kind': 'null'}}]) AS f FROM e)
+        {{'path': '$.tags[*]', 'kind': 'boolean'}}, {{'path': '$.none', 'kind': 'null'}}] END) AS f FROM e)
 SELECT event_type, f.path AS path, f.kind AS kind, count(*) AS n, min(hour) AS first_hour, max(hour) AS last_hour
 FROM p GROUP BY ALL"""
 
@@ -131,7 +133,7 @@ COERCION_STRICT = _coerced(
     "CASE WHEN k < 10 THEN u WHEN k < 15 THEN u9 WHEN k < 20 THEN -u9 "
     "WHEN k < 25 THEN 1 WHEN k < 45 THEN 0 WHEN k < 50 THEN u9 WHEN k < 55 THEN u "
     "WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN 0 ELSE event_id END",
-    ", CASE WHEN k BETWEEN 55 AND 59 THEN 'out_of_range:n' END AS reject_reason",
+    ", CASE WHEN k IS NULL THEN 'unparseable' WHEN k BETWEEN 55 AND 59 THEN 'out_of_range:n' END AS reject_reason",
 )
 
 COERCION_LENIENT = _coerced(
@@ -147,7 +149,7 @@ COERCION_LENIENT = _coerced(
     "WHEN k < 45 THEN NULL WHEN k < 50 THEN u9 WHEN k < 55 THEN u "
     "WHEN k < 60 THEN 99999999999 WHEN k < 65 THEN NULL ELSE event_id END",
     "",
-)
+) + " WHERE k IS NOT NULL"
 
 BIDS = f"""WITH {EVENTS}
 SELECT event_type || CASE WHEN k BETWEEN 45 AND 49 THEN '_last' ELSE '' END AS event_name,
@@ -171,7 +173,7 @@ SELECT {ID} AS event_id, 'user_' || {USER} AS user_id, event_type,
        CAST(event_id % 701 + 100 AS DOUBLE) AS fare_amount, CAST(NULL AS DOUBLE) AS driver_rating,
        CASE WHEN k < 5 THEN NULL WHEN k < 10 THEN '1970-01-01'
             WHEN k < 15 THEN {_day("-(ms // 1000)")} ELSE {_day("ms // 1000")} END AS event_date
-FROM e"""
+FROM e WHERE k IS NOT NULL"""
 
 
 def _draw(start: int, digits: int, low: int, high: int) -> str:
@@ -204,7 +206,7 @@ def _synthetic_ride(kind: str) -> str:
 COUNTS = """SELECT date_trunc('hour', ts) AS window_start,
        date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
        count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-FROM events GROUP BY 1, 2, 3"""
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
 
 ENRICHED = """SELECT event_id, user_id, event_type, c_name, c_mktsegment
 FROM events LEFT JOIN customer ON user_id = c_custkey"""
@@ -222,7 +224,7 @@ ORACLES = {
     "flat_ride_by_day": FLAT_RIDES,
     "lenient_decode_props": r"""SELECT event_id,
         CAST(regexp_extract(props, '(\d+)', 1) AS INTEGER) AS k, CAST(NULL AS STRING) AS absent
-        FROM events""",
+        FROM events WHERE props IS NOT NULL""",
     "hour_bucket": f"""WITH {EVENTS}
         SELECT event_id, {_hour("ms")} AS hour, {_hour("-ms")} AS hour_before_1970 FROM e""",
     "event_date_bucket": f"""WITH {EVENTS}, s AS (SELECT *, -(ms // 1000) AS seconds FROM e)
@@ -257,8 +259,9 @@ ORACLES = {
                ms AS timestamp_ms
         FROM {_hashed("bid_events")}""",
     "publish_messages": f"""WITH {EVENTS}
-        SELECT event_type AS topic, '{{"event_id":' || {ID} || ',"user_id":' || {USER}
-            || ',"value":' || CAST(value AS STRING) || ',"ms":' || {MS} || '}}' AS value FROM e""",
+        SELECT event_type AS topic, '{{"event_id":' || coalesce({ID}, 'null') || ',"user_id":' || coalesce({USER}, 'null')
+            || ',"value":' || coalesce(CAST(value AS STRING), 'null') || ',"ms":' || coalesce({MS}, 'null')
+            || '}}' AS value FROM e""",
     "publish_decode_roundtrip": f"""WITH {EVENTS}, made AS ({_synthetic_ride("driver_events")})
         SELECT topic, event_id, user_id, event_type, "timestamp" AS event_timestamp, ride_id,
                surge_multiplier, estimated_wait_minutes,
@@ -300,7 +303,7 @@ ORACLES = {
     "upsert_open_rejects": f"""WITH {EVENTS}
         SELECT event_type AS topic, {shaping.nested_ride(shaping.UPSERT_ID)} AS value, {REASON} AS reject_reason,
                CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset"
-        FROM e WHERE {REASON} IS NOT NULL AND NOT (k < 5 OR k BETWEEN 20 AND 24)""",
+        FROM e WHERE {REASON} IS NOT NULL AND NOT coalesce(k < 5 OR k BETWEEN 20 AND 24, FALSE)""",
     "routed_tables": f"""WITH {EVENTS}, {_rides()}
         SELECT lower(regexp_replace(event_type, '[-.]', '_', 'g')) AS table_name, event_type AS topic,
                event_hour, count(DISTINCT event_id) AS n_rows

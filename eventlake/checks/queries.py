@@ -198,8 +198,8 @@ def _arrivals(messages: DataFrame) -> list[DataFrame]:
 
 
 def _landed(messages: DataFrame, path: str) -> None:
-    """Messages as a broker's consumer would land them: a file for each partition of the topic."""
-    messages.repartition(4, "partition").write.mode("append").parquet(path)
+    """Messages as several tasks of a consumer would land them: eight files."""
+    messages.repartition(8, "offset").write.mode("append").parquet(path)
 
 
 def _upsert_stream(
@@ -688,7 +688,7 @@ def sketched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def field_census_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of ``props`` and of nested payloads made of all columns, by event type."""
-    events = shaping.events(spark, sf_dir).join(shaping.table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
+    events = shaping.table(spark, sf_dir, "events").withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
     nested = F.concat(
         F.lit('{"id":'), F.col("event_id"), F.lit(',"about":{"user":'), F.col("user_id"), F.lit(',"props":'),
         F.col("props"), F.lit('},"tags":["'), F.col("event_type"), F.lit('",true],"none":null}'),

@@ -38,7 +38,7 @@ def nested_ride(event_id: str = ID) -> str:
         || ',"fare_amount":'
         || CASE WHEN k BETWEEN 35 AND 39 THEN '"abc"'
                 ELSE CAST(event_id % 701 + 100 AS STRING) END
-        || ',"driver_rating":4.' || CAST(user_id % 10 AS STRING) || '}}'"""
+        || ',"driver_rating":4.' || CAST(abs(user_id) % 10 AS STRING) || '}}'"""
     body = f"""CASE WHEN k BETWEEN 15 AND 19 THEN '{{"EVENT_ID":"' ELSE '{{"event_id":"' END
         || {event_id} || '"'
         || CASE WHEN k BETWEEN 40 AND 44 THEN ',"user_id":null'

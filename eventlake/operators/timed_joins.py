@@ -36,7 +36,8 @@ def join_within(
     On streams both sides are kept as state until the watermark says that no partner can come any
     more, so state is as large as what arrives within the bounds and ``lateness``. With ``outer``, a
     left row without a partner is emitted, its right one NULL, when its state expires. Rows that come
-    later than ``lateness`` are not joined; ``late_rows`` counts them. Which batches rows come in
+    later than ``lateness`` are not joined; ``late_rows`` counts them, a right row once for each of its
+    buckets (see below). Which batches rows come in
     makes no difference. A NULL key has no partner. Rows without a time are in no interval and would
     wait for ever: they are left out.
 

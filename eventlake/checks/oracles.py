@@ -110,7 +110,8 @@ def _rejects(event_id: str) -> str:
 
 def _coerced(text: str, int_: str, long_: str, double: str, reason: str) -> str:
     return f"""WITH {EVENTS}, t AS (
-        SELECT *, CAST(user_id AS DOUBLE) AS u, CAST({USER} || '.9' AS DOUBLE) AS u9 FROM e)
+        SELECT *, CAST(user_id AS DOUBLE) AS u, CAST({USER} || '.9' AS DOUBLE) AS u9
+        FROM (SELECT * REPLACE (abs(user_id) AS user_id) FROM e))
     SELECT event_id, {text} AS a, CAST({int_} AS INTEGER) AS n, CAST({long_} AS BIGINT) AS l,
            CAST({double} AS DOUBLE) AS d{reason} FROM t"""
 

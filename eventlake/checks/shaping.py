@@ -94,19 +94,22 @@ FLAT_RIDE = f"""'{{"event_id":"' || {ID} || '","user_id":"user_' || {USER}
     || ',"estimated_wait_minutes":' || CAST(k AS STRING)
     || ',"fare_amount":' || CAST(event_id % 701 + 100 AS STRING) || '}}'"""
 
+# A user id that a sign can be put before.
+PLAIN = "CAST(abs(user_id) AS STRING)"
+
 # The same JSON token in a text, an int, a long and a double field.
 TOKEN = f"""CASE
-    WHEN k < 5 THEN '"' || {USER} || '"'
-    WHEN k < 10 THEN {USER}
-    WHEN k < 15 THEN {USER} || '.9'
-    WHEN k < 20 THEN '-' || {USER} || '.9'
+    WHEN k < 5 THEN '"' || {PLAIN} || '"'
+    WHEN k < 10 THEN {PLAIN}
+    WHEN k < 15 THEN {PLAIN} || '.9'
+    WHEN k < 20 THEN '-' || {PLAIN} || '.9'
     WHEN k < 25 THEN 'true'
     WHEN k < 30 THEN 'null'
-    WHEN k < 35 THEN '"x' || {USER} || '"'
-    WHEN k < 40 THEN '{{"q":' || {USER} || '}}'
-    WHEN k < 45 THEN '[' || {USER} || ']'
-    WHEN k < 50 THEN '"' || {USER} || '.9"'
-    WHEN k < 55 THEN {USER} || '.0'
+    WHEN k < 35 THEN '"x' || {PLAIN} || '"'
+    WHEN k < 40 THEN '{{"q":' || {PLAIN} || '}}'
+    WHEN k < 45 THEN '[' || {PLAIN} || ']'
+    WHEN k < 50 THEN '"' || {PLAIN} || '.9"'
+    WHEN k < 55 THEN {PLAIN} || '.0'
     WHEN k < 60 THEN '99999999999'
     WHEN k < 65 THEN 'false'
     ELSE {ID} END"""

@@ -241,6 +241,7 @@ ORACLES = {
     "upsert_latest": f"{LATEST} SELECT * FROM latest",
     "upsert_stream_current": f"{LATEST} SELECT * FROM latest",
     "upsert_stream_compacted": f"{LATEST} SELECT * FROM latest",
+    "upsert_stream_bucketed": f"{LATEST} SELECT * FROM latest",
     "upsert_stream_rejects": _rejects(shaping.UPSERT_ID),
     "topic_fan_out": f"""WITH {EVENTS}
         SELECT event_type AS topic, {_hour("ms")} AS event_hour, count(*) AS n_rows

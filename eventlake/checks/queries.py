@@ -39,6 +39,7 @@ from eventlake.session import configure, scratch_dir
 from eventlake.sources import landed_messages
 from eventlake.streaming import pipelines, runs
 from eventlake.streaming.append import append_to_path, read_appended, read_updated, update_to_path
+from eventlake.streaming.colocated import BucketedUpsertFolder
 from eventlake.streaming.maintained import HourlyCounts
 from eventlake.streaming.upsert import ARRIVAL, UpsertFolder
 
@@ -208,10 +209,14 @@ def _upsert_stream(
     label: str,
     compact_after: int | None = None,
     then: Callable[[UpsertFolder], object] | None = None,
+    buckets: int | None = None,
 ) -> UpsertFolder:
     """J1 as a stream: three arrivals, each a restart from the checkpoint; after each ``then``."""
     work = scratch_dir(spark, label)
     table = UpsertFolder(spark, f"{work}/table")
+    if buckets:
+        name = f"default.eventlake_rides_{work.rpartition('-')[2]}"
+        table = BucketedUpsertFolder(spark, table.path, table=name, buckets=buckets)
     for i, arrival in enumerate(_arrivals(_upserts(spark, sf_dir))):
         _landed(arrival, f"{work}/landing")
         pipelines.upsert_rides(
@@ -236,6 +241,12 @@ def upsert_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_stream(spark, sf_dir, "compacted", compact_after=1).current()
 
 
+@query
+def upsert_stream_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, compacted into buckets by key, so that the third batch alone is shuffled."""
+    return _upsert_stream(spark, sf_dir, "bucketed", compact_after=1, buckets=8).current()
+
+
 @query
 def upsert_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4 in J1: what the stream refused."""

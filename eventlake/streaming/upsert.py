@@ -25,7 +25,7 @@ merged.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,14 +265,14 @@ class UpsertFolder:
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.key, self._ranking)
 
-    def _merged(self, upto: int) -> tuple[DataFrame, DataFrame]:
-        """(last row per key of every hour touched after ``upto``, those hours)."""
+    def _merged(self, after: int, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(last row per key of every hour touched by the batches in (after, upto], those hours)."""
         hour = [*self._tags, HOUR]
-        fresh = self._changes("accepted", upto).select(*self._state)
-        if upto < 0:
-            return self._latest(fresh), fresh.select(*hour).distinct()
+        fresh = self._changes("accepted", after, upto).select(*self._state)
         touched = fresh.select(*hour).distinct()
-        before = self._base(upto).join(touched, hour, "left_semi")
+        if after < 0:
+            return self._latest(fresh), touched
+        before = self._base(after).join(touched, hour, "left_semi")
         return self._latest(fresh.unionByName(before)), touched
 
     def current(self) -> DataFrame:
@@ -375,7 +375,7 @@ class UpsertFolder:
         ones, so a lost run can simply be repeated. Not to be run twice at the same time. The
         settings of the caller's session stay as they are.
         """
-        own = UpsertFolder(self.spark.newSession(), self.path, self.order, self.routed)
+        own = replace(self, spark=self.spark.newSession())
         for key, value in {**SETTINGS, **SPREAD}.items():
             own.spark.conf.set(key, value)
         own._compact()
@@ -386,18 +386,20 @@ class UpsertFolder:
         if last is None:
             return
         hour = [*self._tags, HOUR]
-        folder = f"{self.path}/base/upto={last}"
         # Batches that finish meanwhile are left to the next compaction.
-        fresh = self._changes("accepted", before, last).select(*self._state)
-        touched = fresh.select(*hour).distinct()
-        merged = self._latest(fresh.unionByName(self._base(before).join(touched, hour, "left_semi")))
-        _overwrite(rows_near(merged, hour), folder, *hour)
-        reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
-        hours = reader.parquet(folder).groupBy(*hour).agg(F.count(F.lit(1)).alias("rows"))
+        rows = self._rewrite(self._merged(before, last)[0], last)
+        hours = rows.groupBy(*hour).agg(F.count(F.lit(1)).alias("rows"))
         if not self.routed:
             hours = hours.withColumn(TABLE, F.lit(None).cast("string"))
         _overwrite(hours.select(TABLE, HOUR, "rows").coalesce(1), f"{self.path}/base_done/upto={last}")
 
+    def _rewrite(self, merged: DataFrame, upto: int) -> DataFrame:
+        """Write what a compaction merged; returns the rows as they are read back."""
+        hour, folder = [*self._tags, HOUR], f"{self.path}/base/upto={upto}"
+        _overwrite(rows_near(merged, hour), folder, *hour)
+        reader = self.spark.read.schema(self._base_schema).option("basePath", f"{self.path}/base")
+        return reader.parquet(folder)
+
 
 def _same(table: str, columns: tuple[str, ...]) -> Column:
     return F.expr(" AND ".join(f"{table}.{c} = s.{c}" for c in columns))

@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,11 +51,16 @@ HINTS = {
     "side": "sidebar side aside related recommended recommendations popular trending more widget complementary tags",
     "advert": "ad ads advert advertisement adverts promo promoted promotion sponsor sponsored outbrain taboola",
     "notice": "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup paywall disclaimer",
-    "social": "share sharing social comment comments disqus reply replies respond discussion feedback",
+    "social": "share sharing social comment comments commenter disqus reply replies respond discussion discussions feedback"
+    " cmt cmnt cmnts kommentar kommentare commentaire commentaires comentario comentarios commenti guestbook reactions",
     "form": "form search login signin register contact",
     "main": "article content main post entry story body text prose blog",
 }
 _HINT_OF = {word: hint for hint, words in HINTS.items() for word in words.split()}
+# Words that are joined to others in a class name and say nothing themselves, and
+# beginnings of class names that tell of a page's layout or an article's topics.
+_JOINED = frozenset("list item wrap wrapper box area block container inner outer user reader page site unit slot thread left right".split())
+_ABOUT = frozenset("has have with no not without is category tag type status format author lang".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -179,14 +185,40 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     return elements, blocks
 
 
+@lru_cache(1 << 16)
+def parts_of(word: str) -> tuple[str, ...]:
+    """The known words that a word is made of, such as comment and list; itself if it is not."""
+    if word in _HINT_OF or word in _JOINED:
+        return (word,)
+    for i in range(len(word) - 2, 2, -1):
+        if word[:i] in _HINT_OF or word[:i] in _JOINED:
+            rest = parts_of(word[i:])
+            if all(w in _HINT_OF or w in _JOINED for w in rest):
+                return (word[:i], *rest)
+    return (word,)
+
+
 def hint_of(attributes: str | None) -> str:
-    """What the class, id and role of an element say it is; the first telling word decides."""
-    if attributes:
-        for _, *values in _ATTRIBUTE.findall(attributes):
-            for word in _HINT_WORD.findall(next((v for v in values if v), "")):
-                if word.lower() in _HINT_OF:
-                    return _HINT_OF[word.lower()]
-    return "none"
+    """What the class, id and role of an element say it is.
+
+    All their words count, also those of compounds, and one that tells of no content outweighs one
+    that tells of content, so the comments of a post are comments. The header of an article is a
+    part of it. Names that begin like 'has' or 'category' say nothing of the element itself.
+    """
+    content = False
+    for _, *values in _ATTRIBUTE.findall(attributes or ""):
+        for name in next((v for v in values if v), "").split():
+            words = [w.lower() for w in _HINT_WORD.findall(name)]
+            if not words or words[0] in _ABOUT:
+                continue
+            # What is too long for a word is not taken apart, so that the work stays linear.
+            hints = [(w, _HINT_OF[w]) for word in words for w in (parts_of(word) if len(word) < 30 else ()) if w in _HINT_OF]
+            main = any(hint == "main" for _, hint in hints)
+            for word, hint in hints:
+                if hint != "main" and not (main and word == "header"):
+                    return hint
+            content |= main
+    return "main" if content else "none"
 
 
 def telling(e: Element) -> bool:

@@ -11,11 +11,28 @@ from eventlake.llm.common import reliable, unused
 
 # What counts as a mention, by kind; the first kind that matches somewhere wins.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_MALE = r"Mr|Sir|Herr|Señor|Monsieur|господин"
-_FEMALE = r"Mrs|Ms|Miss|Frau|Señora|Señorita|Madame|Mademoiselle|госпожа"
+_MALE = r"Mr|Sir|Herrn?|Señor|Sr(?=\.)|Monsieur|M(?=\.)|господину?|г-ну?"
+_FEMALE = r"Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Srta|Madame|Mademoiselle|Mme|Mlle|госпож[ае]|г-ж[ае]"
 _NEUTRAL = r"Dr|Prof|Mx"
 _TITLE = rf"(?:{_FEMALE}|{_MALE}|{_NEUTRAL})\.?\s"
-_NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*"
+# An apostrophe belongs to a word if more than a possessive s follows.
+_NAME_WORD = r"\p{Lu}[\p{L}\p{M}-]*+(?:['’](?!s(?![\p{L}\p{M}]))[\p{L}\p{M}-]++)*+"
+# Words that begin a sentence behind a name or are written large as they are, so they
+# do not continue a name; parts of names that do not count as words of theirs; and names that are
+# words, too. The last two are not looked for without a title.
+_COMMON = (
+    "A And As At But By For From He Her His How I If In It Its My Not Of On Or Our She That The Their Then"
+    " There These They This To We What When Where Who Why With You Your Can Could Did Does Has Have Is Must"
+    " Shall Should Was Were Would Please Thanks Yes"
+    " Monday Tuesday Wednesday Thursday Friday Saturday Sunday"
+    " January February July September October November December"
+    " Eine Er Sie Es Wir Ihr Ihre Ihren Ihrem Ihrer Ich Und Oder Aber Mein Sein Hat Ist Bitte Danke Wie Wenn"
+    " Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag"
+    " Une Il Elle Nous Vous Votre Et Mais Una Usted Sus Pero"
+).split()
+_PARTICLES = "Van Von De Der Den Del Della Di Da Dos La Le Ten Ter Bin Ibn Al El".split()
+_BOTH = "Will May March April June August Mark Bill Grace Hope Rose Do An So No".split()
+_MORE_WORD = rf"(?!(?:{'|'.join(_COMMON)})(?![\p{{L}}\p{{M}}'’-])){_NAME_WORD}"
 # Digits as cards group them, the longer form first.
 _CARD_FORMS = (
     r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,3}",
@@ -32,6 +49,11 @@ KINDS = {
     "secret": SECRET,
     "cloud key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
+    "vendor key": r"(?<![A-Za-z0-9_])(?:[spr]k_(?:live|test)_[A-Za-z0-9]{10,}|gh[pousr]_[A-Za-z0-9]{20,})(?![A-Za-z0-9_])",
+    "ipv6": (
+        r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![0-9A-Za-z:])"
+    ),
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "iban": rf"(?<![A-Za-z0-9]){_IBAN}(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -40,14 +62,14 @@ KINDS = {
         r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
         r"|(?<![\d+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
     ),
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME_WORD}(?: {_NAME_WORD}){{0,2}}",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME_WORD}(?: (?:(?:{'|'.join(_PARTICLES)}) ){{0,2}}{_MORE_WORD}){{0,2}}",
 }
 MENTION = "|".join(f"(?:{p})" for p in KINDS.values())
 # Kinds with a proof: only what passes it is a mention, so they are searched apart, see `_finder`.
 _PROVEN = ("card", "iban")
 _PLAIN = "|".join(f"(?:{p})" for name, p in KINDS.items() if name not in _PROVEN)
 # Every mention has a digit or an @ or begins like this: one cheap look spares most texts the rest.
-HINT = rf"[0-9@]|AKIA|ASIA|{_TITLE}"
+HINT = rf"[0-9@]|AKIA|ASIA|[spr]k_live_|[spr]k_test_|gh[pousr]_|{_TITLE}"
 _DIGITS = ("ssn", "card", "phone")
 # Letters that stand in for a letter of the same script, and syllables for names.
 _ALPHABETS = {
@@ -93,7 +115,7 @@ def _picker(choices: list[str], seed: Column) -> Callable[[Column], Column]:
 
 def _reshaped(text: Column, seed: Column) -> Column:
     """Every letter and digit replaced by another of its kind, case and script; the rest stays."""
-    hexadecimal = text.rlike("^[0-9a-f]{8,}$") | text.rlike("^[0-9A-F]{8,}$")
+    hexadecimal = text.rlike("^[0-9a-f]{8,}$") | text.rlike("^[0-9A-F]{8,}$") | text.rlike("^[0-9a-f]+:[0-9a-f:]+$")
 
     def other(c: Column, i: Column) -> Column:
         n = _number(seed, i)
@@ -175,7 +197,7 @@ def _finder(body: Column) -> Column:
     ibans = F.filter(F.array_distinct(ibans), lambda m: m.rlike(f"^{_IBAN}$"))
     ibans = F.when(body.rlike(KINDS["iban"]), F.filter(ibans, _is_iban)).otherwise(none)
     words = F.flatten(F.transform(F.regexp_extract_all(body, F.lit(KINDS["name"]), F.lit(0)), _name_words))
-    words = F.filter(F.array_distinct(words), lambda w: F.length(w) > 1)
+    words = F.filter(F.array_distinct(words), lambda w: (F.length(w) > 1) & ~w.isin(_COMMON + _PARTICLES + _BOTH))
     words = F.when(body.rlike(KINDS["name"]), words).otherwise(none)
 
     def either(literals: Column, before: str, after: str, behind: bool = False) -> Column:
@@ -203,14 +225,14 @@ def _name_words(mention: Column) -> Column:
 
 def _entities(kind: Column, mention: Column) -> Column:
     """The entities of a mention: [(kind, canonical form)]; a name has one for each word."""
-    gender = F.when(mention.rlike(f"^(?:{_FEMALE})\\b"), "f").when(mention.rlike(f"^(?:{_MALE})\\b"), "m").otherwise("n")
+    gender = F.when(mention.rlike(f"^(?:{_FEMALE})[.\\s]"), "f").when(mention.rlike(f"^(?:{_MALE})[.\\s]"), "m").otherwise("n")
     words = _name_words(mention)
 
     def word(w: Column, i: Column) -> Column:
         role = F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("given "), gender))
         return F.struct(role.alias("kind"), F.lower(w).alias("entity"))
 
-    form = F.when(kind.isin(*_DIGITS), _digits(mention)).when(kind == "email", F.lower(mention))
+    form = F.when(kind.isin(*_DIGITS), _digits(mention)).when(kind.isin("email", "ipv6"), F.lower(mention))
     form = form.when(kind == "secret", _secret_value(mention))
     form = form.when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(mention)
     single = F.array(F.struct(kind.alias("kind"), form.alias("entity")))
@@ -242,6 +264,8 @@ def _with_surrogate(rows: DataFrame, secret: str) -> DataFrame:
     out = F.when(kind == "card", card).when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
     out = out.when(kind == "phone", phone).when(kind == "iban", iban).when(kind == "email", email)
     out = out.when(kind == "cloud key", F.concat(F.substring(entity, 1, 4), F.substr(shaped, F.lit(5), n)))
+    key = F.regexp_extract(entity, "^[a-z]+_(?:live_|test_)?", 0)
+    out = out.when(kind == "vendor key", F.concat(key, F.substr(shaped, F.length(key) + 1, n)))
     # Every fourth attempt makes a name longer, so that there are names enough for any corpus.
     places = F.sequence(F.lit(1), F.lit(2) + F.floor(F.col("attempt") / 4).cast("int"))
     for script, syllables in _SYLLABLES.items():
@@ -299,7 +323,7 @@ def _rendered(kind: Column, mention: Column, found: Column) -> Column:
         return F.when(loud, F.upper(s)).otherwise(F.initcap(s))
 
     names = F.array_join(F.zip_with(found, _name_words(mention), cased), " ")
-    out = F.when(kind.isin(*_DIGITS), digits).when(kind == "email", email)
+    out = F.when(kind.isin(*_DIGITS), digits).when(kind.isin("email", "ipv6"), email)
     out = out.when(kind == "secret", F.concat(prefix, first)).when(kind == "iban", grouped)
     out = out.when(kind == "name", F.concat(F.regexp_extract(mention, f"^{_TITLE}", 0), names))
     return out.otherwise(first)
@@ -337,7 +361,7 @@ def replace(docs: DataFrame, secret: str, text: str = "text", count: str | None
     An entity has one surrogate in the whole corpus, however it is written, so mentions that
     belonged together still do, and no two entities share one. Kind, format, script, case and a
     title's gender are kept; card and account numbers stay valid ones. A name is found by its title,
-    then each of its words wherever it stands in the same text. Texts are cut at their
+    then each of its words wherever it stands in the same text, but for words as common as "Will". Texts are cut at their
     mentions and joined again, so a surrogate is never searched in turn. Most texts mention
     nobody and take no part in any shuffle; equal texts are looked up once. NULL and empty texts
     stay as they are, as do repeated rows and other columns, whatever they are called; an empty table

@@ -199,8 +199,9 @@ def _arrivals(messages: DataFrame) -> list[DataFrame]:
 
 
 def _landed(messages: DataFrame, path: str) -> None:
-    """Messages as several tasks of a consumer would land them: eight files."""
-    messages.repartition(8, "offset").write.mode("append").parquet(path)
+    """Messages as the tasks of a consumer would land them: a file for each core, eight at least."""
+    files = max(8, messages.sparkSession.sparkContext.defaultParallelism)
+    messages.repartition(files, "offset").write.mode("append").parquet(path)
 
 
 def _upsert_stream(

@@ -41,6 +41,13 @@ SPREAD = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1",
 }
 
+# For stages whose work is heavy for their size, such as decodes and sorts of wide rows: all cores
+# share them as soon as each gets a few megabytes, which still makes a file of a fair size.
+SHARED = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4m",
+}
+
 
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlake.session import SHARED, settings
 from eventlake.streaming.owners import rows_of
 from eventlake.streaming.tables import PARQUET_OPTIONS
 from eventlake.streaming.upsert import HOUR, TABLE, UpsertFolder
@@ -67,7 +68,8 @@ class HourlyCounts:
                 signed = signed.withColumn(TABLE, F.lit(None).cast("string"))
             fare = (F.col("sign") * F.col("fare_amount").cast(FARE)).cast(FARE)
             sums = _summed(signed, F.sum("sign"), F.sum(fare))
-            self._write(sums.where("n_rows <> 0 OR fares <> 0"), "deltas", after, upto)
+            with settings(table.spark, SHARED):
+                self._write(sums.where("n_rows <> 0 OR fares <> 0"), "deltas", after, upto)
         return max(after, upto)
 
     def _sums(self) -> DataFrame:

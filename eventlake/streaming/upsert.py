@@ -37,7 +37,7 @@ from eventlake.functions.names import table_name_column
 from eventlake.operators.decode import MESSAGE, REASON, accepted
 from eventlake.operators.upsert import latest_per_key
 from eventlake.plans.events import nested_ride_rows
-from eventlake.session import SETTINGS, SPREAD
+from eventlake.session import SETTINGS, SHARED, SPREAD, settings
 from eventlake.sources.files import landed_messages
 from eventlake.streaming import owners
 from eventlake.streaming.runs import COMMIT_INTERVAL, with_trigger
@@ -46,7 +46,10 @@ from eventlake.streaming.tables import PARQUET_OPTIONS, REJECTED, conform, rows_
 ARRIVAL = ("timestamp", "partition", "offset")
 HOUR = "event_hour"
 TABLE = "table_name"
-NO_TOPIC, SHARED = "no_topic", "shares_table"
+NO_TOPIC, TAKEN = "no_topic", "shares_table"
+# Refused rows have no hour to be told apart by; this many shares of them go to different tasks.
+REFUSED_SHARES = 32
+_SHARE = "__share"
 
 _ROW = [f for f in S.RIDE_TABLE.fields if f.name != HOUR]
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -160,7 +163,7 @@ class UpsertFolder:
         known = self.topics().select(F.col(TABLE).alias("__known"), F.col("topic").alias("__owner"))
         named = decoded.withColumn(TABLE, table_name_column(F.col("topic")))
         named = named.join(known, F.col(TABLE) == F.col("__known"), "left")
-        reason = F.when(F.col("topic").isNull(), NO_TOPIC).when(F.col("__owner") != F.col("topic"), SHARED)
+        reason = F.when(F.col("topic").isNull(), NO_TOPIC).when(F.col("__owner") != F.col("topic"), TAKEN)
         named = named.withColumn(REASON, F.coalesce(REASON, reason))
         kept = F.when(F.col(REASON).isNotNull() | F.col("__owner").isNull(), F.col("value"))
         return named.withColumn("__kept", kept)
@@ -187,10 +190,12 @@ class UpsertFolder:
             *self._tags,
             F.when(bad, "rejected").otherwise("accepted").alias("route"),
         )
-        near = rows_near(rows, [*self._tags, "route", HOUR])
-        near = near.sortWithinPartitions(*self._tags, "route", HOUR, "event_id")
+        share = F.when(F.col("route") == "rejected", F.pmod(F.hash("partition", "offset", "value"), F.lit(REFUSED_SHARES)))
+        near = rows_near(rows.withColumn(_SHARE, share), [*self._tags, "route", HOUR, _SHARE])
+        near = near.sortWithinPartitions(*self._tags, "route", HOUR, "event_id").drop(_SHARE)
         folder = f"{self.path}/changes/batch_id={batch_id}"
-        _overwrite(near, folder, *self._tags, "route")
+        with settings(self.spark, SHARED):
+            _overwrite(near, folder, *self._tags, "route")
         # Row counts come from the footers: no column is read.
         reader = self.spark.read.schema(self._changes_schema).option("basePath", f"{self.path}/changes")
         counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("route") == "rejected").alias("rejected")]
@@ -332,7 +337,7 @@ class UpsertFolder:
             # Rows of a new table whose name another topic of that batch had.
             good = self._read("changes", self._changes_schema).where("route = 'accepted' AND value IS NOT NULL")
             good = good.join(self._done().select("batch_id").distinct(), "batch_id", "left_semi")
-            lost = good.join(self.topics(), [TABLE, "topic"], "left_anti").withColumn(REASON, F.lit(SHARED))
+            lost = good.join(self.topics(), [TABLE, "topic"], "left_anti").withColumn(REASON, F.lit(TAKEN))
             bad = bad.unionByName(lost.select(*columns))
         return bad
 

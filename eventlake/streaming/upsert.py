@@ -368,7 +368,9 @@ class UpsertFolder:
             decoded = decoded.where(F.col("topic").isNotNull())
         before = self._read("redrive", REDRIVEN).count()
         rows = conform(decoded, REDRIVEN)
-        rows.write.mode("append").options(**PARQUET_OPTIONS).parquet(f"{self.path}/redrive")
+        # The repaired messages are decoded behind the join with those that were published before.
+        with settings(self.spark, SHARED):
+            rows.write.mode("append").options(**PARQUET_OPTIONS).parquet(f"{self.path}/redrive")
         return self._read("redrive", REDRIVEN).count() - before
 
     # -- upkeep ----------------------------------------------------------------------------

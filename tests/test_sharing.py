@@ -42,3 +42,19 @@ def test_accepted_rows_of_a_batch_and_their_feed_are_shared(spark, rides, tmp_pa
     rides.landing.add(ride_json("a", HOUR0, 1), ride_json("b", HOUR0 + 3_600_000, 1))
     rides.run()
     assert files(written.with_name("batch_id=1")) == 1
+
+
+def test_refused_rows_of_a_batch_and_their_redrive_are_shared(rides):
+    rides.landing.add(*[wide(i)[:-1] for i in range(N)], "junk")
+    rides.run()
+    assert 2 <= files(pathlib.Path(rides.table.path) / "changes" / "batch_id=0") <= 4
+    empty = files(pathlib.Path(rides.table.path) / "redrive")
+
+    def closed(refused):
+        return refused.withColumn("value", F.concat("value", F.lit("}")))
+
+    assert rides.table.redrive(closed) == N
+    assert files(pathlib.Path(rides.table.path) / "redrive") - empty >= 2
+    rides.run()
+    assert rides.table.current().count() == N
+    assert [r["value"] for r in rides.table.open_rejects().collect()] == ["junk"]

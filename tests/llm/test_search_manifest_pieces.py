@@ -393,3 +393,10 @@ def test_registered_encoding_equals_the_library(spark, library):
         assert (r["n_tokens"], r["n_bytes"]) == (len(ids), len(texts[r["doc_id"]].encode()))
         assert r["ids_sha256"] == h(",".join(map(str, ids)))
         assert r["decoded_sha256"] == h(library.decode(ids))
+
+
+def test_registered_encoding_of_texts_that_are_missing(spark, docs, tmp_path):
+    docs([(1, None, "a"), (2, "", "a"), (3, "a b", "b")]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op13_pieces"](spark, str(tmp_path)).collect()}
+    assert [(k, rows[k]["n_tokens"], rows[k]["n_bytes"]) for k in sorted(rows)] == [(1, 0, 0), (2, 0, 0), (3, 2, 3)]
+    assert rows[1]["ids_sha256"] == rows[2]["decoded_sha256"] == h("")

@@ -49,6 +49,31 @@ def test_top_k(spark, vectors, monkeypatch, block):
     assert topk.top_k(df.limit(0), F.col("vec_id") == 1).count() == 0
 
 
+def test_top_k_of_many_blocks_and_copies(spark, monkeypatch):
+    """Blocks on both sides, one part searched first, large groups of equal and of odd vectors."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "LARGEST", 8 * 20)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 8))
+    x[::3] = x[0] + rng.normal(size=(len(x[::3]), 8)) * 0.01
+    x[100:300] = x[7]
+    x[650:] *= 1e4
+    keys = rng.permutation(700)
+    rows = [(int(k), v.tolist()) for k, v in zip(keys, x, strict=True)]
+    rows += rows[90:110] + [(int(keys[0]), x[1].tolist()), (int(keys[20]), (-x[1]).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, F.col("vec_id") % 7 == 0).collect():
+        got.setdefault(r["query"], []).append((r["rank"], r["key"], r["score"]))
+    points = list(dict.fromkeys((k, tuple(np.floor(256 * np.array(v)).astype(int).tolist())) for k, v in rows))
+    want = {}
+    for key, a in points:
+        if key % 7 == 0:
+            best = sorted((-sum(map(int.__mul__, a, b)), k) for k, b in points if k != key)[:5]
+            want.setdefault(key, []).extend((i + 1, k, -s) for i, (s, k) in enumerate(best))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_a_cover_tree_covers():
     x = np.random.default_rng(1).normal(size=(700, 3))
     todo, leaves = [topk.cover_tree(x)], []

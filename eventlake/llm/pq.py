@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import components, reliable
-from eventlake.llm.vectors import distances, finite, matrix, sample
 
 THRESHOLD = 0.93
 # The index is fitted on at most so many vectors; every vector is indexed.
@@ -21,8 +21,12 @@ PER_LIST = 1024
 CODE_WORDS = 64
 SUBSPACE = 8
 ROUNDS = 8
-# Rows of a list, and of the vectors that visit it, that one task compares at a time.
+# Vectors of a label that one task compares with as many others: as many at least, more where a label
+# would make over two blocks, and components of such a block at most.
 BLOCK = 2048
+LARGEST = 1 << 23
+# Vectors that visit the lists at a time, and of a list that are compared with them.
+TILE = 2048
 
 
 @dataclass(frozen=True)
@@ -41,18 +45,17 @@ class Index:
         codes = np.empty((len(residual), len(self.cuts)), dtype=np.uint8)
         error = np.zeros(len(residual))
         for m, (cut, words) in enumerate(zip(self.cuts, self.words, strict=True)):
-            far = distances(residual[:, cut], words)
-            codes[:, m] = far.argmin(1)
-            error += far.min(1) ** 2
+            part = residual[:, cut]
+            codes[:, m] = _squares(part, words).argmin(1)
+            error += ((part - words[codes[:, m]]) ** 2).sum(1)
         return codes, np.sqrt(error)
 
-    def lookup(self, residual: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances of exact residuals to coded ones, by table lookup."""
-        total = np.zeros((len(residual), len(codes)))
+    def decode(self, codes: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """What the codes stand for: a product with it is the sum of a table's entries by code."""
+        out = self.centers[lists]
         for m, (cut, words) in enumerate(zip(self.cuts, self.words, strict=True)):
-            table = distances(residual[:, cut], words) ** 2
-            total += table[:, codes[:, m]]
-        return np.sqrt(total)
+            out[:, cut] += words[codes[:, m]]
+        return out
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -70,33 +73,96 @@ def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 def fit(x: np.ndarray, n_lists: int) -> Index:
     """An index from a bounded sample of unit vectors."""
     centers = kmeans(x, n_lists)
-    own = distances(x, centers).argmin(1)
+    own = _squares(x, centers).argmin(1)
     cuts = np.array_split(np.arange(x.shape[1]), max(1, -(-x.shape[1] // SUBSPACE)))
     residual = x - centers[own]
     return Index(centers, cuts, [kmeans(residual[:, cut], CODE_WORDS) for cut in cuts])
 
 
+def _squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances by products; of unit vectors and means of them off by 1e-14 or less."""
+    return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centers.T + (centers**2).sum(1), 0.0)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Scaled to length 1, without overflow or underflow on the way."""
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def linked_pairs(index: Index, at: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, error: np.ndarray, threshold: float):
-    """(rows of q, rows of x) with a cosine of ``threshold`` or more, x being rows of list ``at``.
+class Side:
+    """The vectors of a block: units in single precision, lists, codes and what these stand for.
 
-    Two unit vectors reach it if their distance is at most sqrt(2 - 2 threshold). The table's
-    distance is off by the code's own error at most, so the filter loses none; the exact cosine
-    in double precision decides.
+    They lie in the order of their lists; ``lists`` has (list, start, end, radius) of each.
     """
-    near = index.lookup(q - index.centers[at], codes)
-    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    left, right = np.nonzero(near <= reach + error[None, :])
-    good = np.zeros(len(left), dtype=bool)
+
+    def __init__(self, index: Index, nodes: np.ndarray, counts: np.ndarray, x: np.ndarray, threshold: float):
+        own = np.empty(len(x), dtype=np.int64)
+        off = np.empty(len(x))
+        for a in range(0, len(x), TILE):
+            far = _squares(unit(x[a : a + TILE].astype(float)), index.centers)
+            own[a : a + TILE], off[a : a + TILE] = far.argmin(1), np.sqrt(far.min(1))
+        order = np.argsort(own, kind="stable")
+        self.nodes, self.counts, self.x = nodes[order], counts[order].astype(float), x[order]
+        own, off = own[order], off[order]
+        edges = np.flatnonzero(np.diff(own, prepend=-1, append=len(index.centers)))
+        self.lists = [(int(own[a]), int(a), int(b), float(off[a:b].max())) for a, b in zip(edges, edges[1:], strict=False)]
+        self.units = np.empty(x.shape, dtype=np.float32)
+        self.decoded = np.empty(x.shape, dtype=np.float32)
+        self.least = np.empty(len(x), dtype=np.float32)
+        reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+        for a in range(0, len(x), TILE):
+            some = slice(a, a + TILE)
+            units = unit(self.x[some].astype(float))
+            codes, error = index.encode(index.residuals(units, own[some]))
+            coded = index.decode(codes, own[some])
+            self.units[some], self.decoded[some] = units, coded
+            # A linked vector is within reach of the exact one, so within reach + error of the coded.
+            self.least[some] = (1 + (coded**2).sum(1) - (reach + error) ** 2) / 2 - _off(x.shape[1])
+
+    def exact(self, rows: np.ndarray) -> np.ndarray:
+        return unit(self.x[rows].astype(float))
+
+
+def _off(dim: int) -> float:
+    """How far a product of unit vectors in single precision may be off, and more."""
+    return (dim + 16) * 2.0**-22
+
+
+def linked(q: Side, rows: np.ndarray | slice, x: Side, start: int, end: int, threshold: float) -> np.ndarray | None:
+    """Which of the rows of ``q`` and of ``x`` from ``start`` to ``end`` have a cosine of ``threshold`` or more.
+
+    The codes' distance is off by the code's own error at most, so the filter loses none. What
+    passes it is compared by products in single precision, and where these are too near the
+    threshold to tell, the exact cosine in double precision decides. None if no pair links.
+    """
+    mine, off = q.units[rows], _off(q.x.shape[1])
+    near = mine @ x.decoded[start:end].T >= x.least[start:end]
+    passed = np.count_nonzero(near)
+    if not passed:
+        return None
+    numbers = np.arange(len(q.x))[rows]
+    if 64 * passed < near.size:
+        left, right = np.divmod(np.flatnonzero(near), end - start)
+        cosine = np.einsum("ij,ij->i", mine[left], x.units[start + right])
+        maybe = cosine >= threshold - off
+        if not maybe.any():
+            return None
+        left, right, cosine = left[maybe], right[maybe], cosine[maybe]
+        near[:] = False
+        near[left, right] = True
+        close = cosine < threshold + off
+        left, right = left[close], right[close]
+    else:
+        cosine = mine @ x.units[start:end].T
+        near &= cosine >= threshold - off
+        if not np.count_nonzero(near):
+            return None
+        left, right = np.divmod(np.flatnonzero(near & (cosine < threshold + off)), end - start)
     for a in range(0, len(left), 1 << 16):
-        part = slice(a, a + (1 << 16))
-        good[part] = np.einsum("ij,ij->i", q[left[part]], x[right[part]]) >= threshold
-    return left[good], right[good]
+        i, j = left[a : a + (1 << 16)], right[a : a + (1 << 16)]
+        near[i, j] = np.einsum("ij,ij->i", q.exact(numbers[i]), x.exact(start + j)) >= threshold
+    return near if near.any() else None
 
 
 def visited(far: np.ndarray, radii: np.ndarray, gaps: np.ndarray, threshold: float) -> np.ndarray:
@@ -114,22 +180,123 @@ def visited(far: np.ndarray, radii: np.ndarray, gaps: np.ndarray, threshold: flo
     return ball & cell
 
 
-def forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs: as many components, and less pairs than nodes."""
-    parent: dict[int, int] = {}
-
-    def root(v: int) -> int:
-        while parent.setdefault(v, v) != v:
-            parent[v] = v = parent[parent[v]]
+class Forest:
+    """A spanning forest of links, found tile by tile: as many components, and less edges than nodes."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+        self.edges: list[tuple[int, int]] = []
+
+    def roots(self, nodes: np.ndarray) -> np.ndarray:
+        found = self.parent[nodes]
+        while (above := self.parent[found]).tolist() != found.tolist():
+            found = above
+        self.parent[nodes] = found
+        return found
+
+    def add(self, near: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """The links of a tile: each round joins what has a link to another component with one."""
+        rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        sides = near[np.ix_(rows, cols)], left[rows], right[cols]
+        while sides[0].size:
+            near, left, right = sides
+            other = near & (self.roots(left)[:, None] != self.roots(right)[None, :])
+            some = np.flatnonzero(other.any(axis=1))
+            for a, b in zip(left[some].tolist(), right[other[some].argmax(axis=1)].tolist(), strict=True):
+                ra, rb = self._root(a), self._root(b)
+                if ra != rb:
+                    self.parent[max(ra, rb)] = min(ra, rb)
+                    self.edges.append((a, b))
+            # Next it is the other side's turn, else a row that all have in common joins one a round.
+            sides = near[some].T, right, left[some]
+
+    def _root(self, v: int) -> int:
+        while (above := int(self.parent[v])) != v:
+            self.parent[v] = self.parent[above]
+            v = above
         return v
 
-    out = []
-    for a, b in zip(nodes[left].tolist(), nodes[right].tolist(), strict=True):
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            out.append((a, b))
-    return out
+
+def compare(index: Index, q: Side, x: Side | None, threshold: float) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Links of each row of ``q`` and of ``x``, and the ends of a forest's edges; without ``x``, of ``q`` with itself."""
+    own, x = x is None, q if x is None else x
+    gaps = np.sqrt(_squares(index.centers, index.centers))
+    radii = np.full(len(index.centers), -np.inf)  # a list without rows here is never visited
+    for at, _, _, radius in x.lists:
+        radii[at] = radius
+    links, tree = [np.zeros(len(side.x)) for side in ([q] if own else [q, x])], Forest(len(q.x) + (0 if own else len(x.x)))
+    for a in range(0, len(q.x), TILE):
+        rows = np.arange(a, min(a + TILE, len(q.x)))
+        seen = visited(np.sqrt(_squares(q.exact(rows), index.centers)), radii, gaps, threshold)
+        end = int(rows[-1]) + 1
+        for first, last, asked in _visits(x.lists, seen):
+            who = rows[asked]
+            # In one block, rows meet those before them when these ask.
+            parts = [(max(first, a), min(last, end)), (max(first, end), last)] if own else [(first, last)]
+            for start, stop in [(i, min(i + TILE, z)) for f, z in parts for i in range(f, z, TILE)]:
+                near = linked(q, slice(a, end) if len(who) == len(rows) else who, x, start, stop, threshold)
+                if near is None:
+                    continue
+                once = own and start < end
+                if once:
+                    near &= who[:, None] != np.arange(start, stop)[None, :]
+                links[0][who] += near @ x.counts[start:stop]
+                if not once:
+                    links[-1][start:stop] += q.counts[who] @ near
+                tree.add(near, who, np.arange(start, stop) + (0 if own else len(q.x)))
+    both = q.nodes if own else np.concatenate([q.nodes, x.nodes])
+    edges = np.array(tree.edges, dtype=np.int64).reshape(-1, 2)
+    return links, both[edges[:, 0]], both[edges[:, 1]]
+
+
+def _visits(lists: list[tuple[int, int, int, float]], seen: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start, end, who visits): neighbouring lists that most rows visit are one, up to TILE vectors."""
+    first = last = 0
+    for at, start, end, _ in lists:
+        who = np.flatnonzero(seen[:, at])
+        if 2 * len(who) >= len(seen):
+            if last != start or end - first > TILE:
+                if last > first:
+                    yield first, last, np.arange(len(seen))
+                first = start
+            last = end
+        elif len(who):
+            yield start, end, who
+    if last > first:
+        yield first, last, np.arange(len(seen))
+
+
+def packed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(key, x, label, dim) of (key, vector, label); x and dim are NULL where nothing can be linked.
+
+    Components take four bytes if all of a vector are the same in single precision, else eight.
+    """
+    lists, keep = batch.column(1), batch.column(2).is_valid().to_numpy(zero_copy_only=False).copy()
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    # Adding zero makes a zero of a negative one.
+    values = pc.fill_null(lists.flatten(), np.nan).to_numpy(zero_copy_only=False).astype(float) + 0.0
+    with np.errstate(over="ignore", invalid="ignore"):
+        single = values.astype("<f4")
+    ends = np.cumsum(sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    keep &= np.bincount(row[values != 0], minlength=len(sizes)) > 0
+    keep[row[~np.isfinite(values)]] = False
+    wide = np.zeros(len(sizes), dtype=bool)
+    wide[row[single != values]] = True
+    short = single.tobytes()
+    x = [
+        (values[e - n : e].astype("<f8").tobytes() if w else short[4 * (e - n) : 4 * e]) if k else None
+        for e, n, w, k in zip(ends.tolist(), sizes.tolist(), wide.tolist(), keep.tolist(), strict=True)
+    ]
+    dims = pa.array(sizes.astype(np.int32), mask=~keep)
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary()), batch.column(2), dims], names=["key", "x", "label", "dim"])
+
+
+def unpacked(rows: list[bytes], dim: int) -> np.ndarray:
+    """Packed vectors as rows of a matrix, in single precision if all are."""
+    if all(len(r) == 4 * dim for r in rows):
+        return np.frombuffer(b"".join(rows), dtype="<f4").reshape(len(rows), dim)
+    return np.array([np.frombuffer(r, dtype="<f4" if len(r) == 4 * dim else "<f8") for r in rows], dtype=float).reshape(len(rows), dim)
 
 
 def near_duplicates(
@@ -148,21 +315,25 @@ def near_duplicates(
     its copies, and repeated rows with each other. A NULL key is never a component unless it stands
     alone. An empty table gives no row.
 
-    A vector visits every list that may hold one linked with it, see ``visited``, so no pair is
-    lost, however many lists there are. What visits a list is compared with it in blocks of at most
-    ``BLOCK`` rows of either side, so a list that holds most vectors is many tasks. A block gives
-    each row a count and a spanning forest of its links: their number grows with the rows, not with
-    the pairs.
+    Vectors of a label are dealt out in blocks of a bounded number of rows, at most two until these
+    are full, and each pair of blocks is compared by one task, once: a vector is copied to as many
+    tasks as its label has blocks, however many lists it visits. In a task a vector visits every
+    list that may hold one linked with it, see ``visited``, so no pair is lost, however many lists
+    there are. A task gives each vector a count and a spanning forest of its links: their number
+    grows with the rows, not with the pairs. Vectors are told apart by hashes of 64 bits outside of
+    the tasks.
     """
-    value = F.transform(F.col(vec), lambda v: v.cast("double"))
-    good = finite(F.col(vec)) & F.exists(value, lambda v: v != 0) & F.col(label).isNotNull()
-    rows = vectors.select(F.col(key).cast("long").alias("key"), value.alias("x"), F.col(label).alias("label"), F.coalesce(good, F.lit(False)).alias("good"))
-    rows = reliable(rows)
-    nodes = rows.where("good").groupBy("label", "x").agg(F.count("*").alias("n"), F.min("key").alias("first"))
-    nodes = nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("x"))
-    nodes = reliable(nodes)
-    dims = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    found = [_links(nodes.where(F.col("dim") == dim), dim, n, threshold) for dim, n in sorted(dims.items())]
+    rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("x"), F.col(label).alias("label"))
+    kind = rows.schema["label"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(packed, batches)
+
+    rows = rows.mapInArrow(pack, f"key long, x binary, label {kind}, dim int")
+    rows = reliable(rows.withColumn("node", F.when(F.col("dim").isNotNull(), F.xxhash64("label", "x", "dim"))))
+    good = rows.where("dim IS NOT NULL")
+    dims = {r["dim"]: r["n"] for r in good.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    found = [_links(good.where(F.col("dim") == dim), dim, n, threshold) for dim, n in sorted(dims.items())]
     empty = rows.sparkSession.createDataFrame([], "a long, b long, n long")
     facts = empty
     for part in found:
@@ -171,102 +342,48 @@ def near_duplicates(
     # A fact with b is an edge, one without is a count of links.
     rooted = components(facts.where("b IS NOT NULL").select("a", "b"))
     counted = facts.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    nodes = good.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("first"))
     named = nodes.join(counted, "node", "left").join(rooted, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
     named = named.join(least, "component").select(
-        "label", "x", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "least"
+        "node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "least"
     )
-    linked = rows.where("good").join(named, ["label", "x"]).select("key", F.col("links").alias("n_links"), F.col("least").alias("component"))
-    alone = rows.where("NOT good").select("key", F.lit(0).cast("long"), F.col("key"))
+    linked = good.select("key", "node").join(named, "node").select("key", F.col("links").alias("n_links"), F.col("least").alias("component"))
+    alone = rows.where("dim IS NULL").select("key", F.lit(0).cast("long"), F.col("key"))
     return linked.union(alone)
 
 
-def _links(nodes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
-    spark = nodes.sparkSession
-    index = fit(unit(np.array(sample(nodes, SAMPLE, "x", "node"))), min(MAX_LISTS, -(-n // PER_LIST)))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit(matrix(batch.column(2), dim))
-            far = distances(x, index.centers)
-            own = far.argmin(1)
-            codes, error = index.encode(index.residuals(x, own))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "node": batch.column(0),
-                    "n": batch.column(1),
-                    "x": pa.array(list(x), pa.list_(pa.float64())),
-                    "label": batch.column(3),
-                    "list": pa.array(own.astype(np.int32)),
-                    "off": pa.array(far.min(1)),
-                    "codes": pa.array([c.tobytes() for c in codes], pa.binary()),
-                    "error": pa.array(error),
-                }
-            )
-
-    kind = nodes.schema["label"].dataType.simpleString()
-    coded = reliable(
-        nodes.select("node", "n", "x", "label").mapInArrow(
-            encode,
-            f"node long, n long, x array<double>, label {kind}, list int, off double, codes binary, error double",
-        )
-    )
-    radii = np.full(len(index.centers), -np.inf)  # an empty list is never visited
-    for r in coded.groupBy("list").agg(F.max("off").alias("radius")).collect():
-        radii[r["list"]] = r["radius"]
-    gaps = distances(index.centers, index.centers)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            seen = visited(distances(matrix(batch.column(2), dim), index.centers), radii, gaps, threshold)
-            visits = [np.flatnonzero(v).astype(np.int32) for v in seen]
-            columns = [batch.column(i) for i in range(4)] + [pa.array(visits, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "x", "label", "visits"])
-
-    asking = coded.select("node", "n", "x", "label").mapInArrow(ask, f"node long, n long, x array<double>, label {kind}, visits array<int>")
-    asking = reliable(asking).withColumn("visit", F.explode("visits"))
-    sizes = coded.groupBy("label", F.col("list").alias("visit")).agg(F.count("*").alias("held"))
-    asked = asking.groupBy("label", "visit").agg(F.count("*").alias("asked"))
-    blocks = sizes.join(asked, ["label", "visit"]).select(
-        "label",
-        "visit",
-        F.ceil(F.col("held") / BLOCK).cast("int").alias("x_blocks"),
-        F.ceil(F.col("asked") / BLOCK).cast("int").alias("q_blocks"),
-    )
-    blocks = reliable(blocks)
-    ids = ["label", "visit", "q_block", "x_block"]
-
-    def dealt(mine: DataFrame, side: str, other: str, columns: list[str]) -> DataFrame:
-        deal = F.pmod(F.xxhash64("node"), F.col(f"{side}_blocks")).cast("int")
-        mine = mine.join(blocks, ["label", "visit"]).withColumn(f"{side}_block", deal)
-        mine = mine.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
-        # Named anew, since both sides of the cogroup come from one table.
-        return mine.select(*[F.col(c).alias(c) for c in ids + columns])
-
-    queries = dealt(asking, "q", "x", ["node", "n", "x"])
-    held = dealt(coded.withColumn("visit", F.col("list")), "x", "q", ["node", "n", "x", "codes", "error"])
-
-    def compare(q: pa.Table, x: pa.Table) -> pa.Table:
-        facts: list[tuple[int, int | None, int | None]] = []
-        if q.num_rows and x.num_rows:
-            at = q["visit"][0].as_py()
-            codes = np.frombuffer(b"".join(x["codes"].to_pylist()), dtype=np.uint8).reshape(x.num_rows, -1)
-            left, right = linked_pairs(index, at, matrix(q["x"], dim), matrix(x["x"], dim), codes, x["error"].to_numpy(), threshold)
-            q_nodes, x_nodes = q["node"].to_numpy(), x["node"].to_numpy()
-            other = q_nodes[left] != x_nodes[right]
-            left, right = left[other], right[other]
-            # Each of a pair visits the other's list and counts what it finds.
-            mine = np.bincount(left, weights=x["n"].to_numpy()[right], minlength=q.num_rows)
-            facts += [(int(q_nodes[i]), None, int(mine[i])) for i in np.flatnonzero(mine)]
-            both = np.concatenate([q_nodes, x_nodes])
-            facts += [(a, b, None) for a, b in forest(both, left, right + q.num_rows)]
-        columns = zip(*facts, strict=True) if facts else ([], [], [])
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "b", "n"), columns, strict=True)})
-
-    grouped = queries.groupBy(*ids).cogroup(held.groupBy(*ids))
-    return grouped.applyInArrow(compare, "a long, b long, n long")
+def _links(rows: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
+    hashed = F.xxhash64("node")
+    top = rows.select(hashed.alias("h")).distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    few = rows.where(hashed <= top).groupBy("node").agg(F.min("x").alias("x")).orderBy(hashed, "node").limit(SAMPLE).collect()
+    index = fit(unit(unpacked([bytes(r["x"]) for r in few], dim).astype(float)), min(MAX_LISTS, -(-n // PER_LIST)))
+    full = max(BLOCK, LARGEST // dim)
+    nodes = rows.groupBy("label", "node", "x").agg(F.count("*").alias("n"))
+    size = F.least(F.lit(full), F.greatest(F.lit(BLOCK), F.ceil(F.col("held") / 2)))
+    blocks = rows.groupBy("label").agg(F.count("*").alias("held")).select("label", F.ceil(F.col("held") / size).cast("int").alias("blocks"))
+    mine = F.pmod(hashed, F.col("blocks")).cast("int")
+    dealt = nodes.join(reliable(blocks), "label").withColumn("mine", mine)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("label", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "x", "n")
+
+    def search(block: pa.Table) -> pa.Table:
+        sides = []
+        low, high = block["low"][0].as_py(), block["high"][0].as_py()
+        for at in dict.fromkeys((low, high)):
+            part = block.filter(pc.equal(block["mine"], at))
+            if part.num_rows:
+                x = unpacked(part["x"].to_pylist(), dim)
+                sides.append(Side(index, part["node"].to_numpy(), part["n"].to_numpy(), x, threshold))
+        if not sides or len(sides) == 1 and low != high:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("a", "b", "n")})
+        links, a, b = compare(index, sides[0], sides[1] if low != high else None, threshold)
+        some = [np.flatnonzero(n) for n in links]
+        who = np.concatenate([s.nodes[i] for s, i in zip(sides, some, strict=True)])
+        n = np.concatenate([n[i] for n, i in zip(links, some, strict=True)]).astype(np.int64)
+        none = lambda k: pa.nulls(k, pa.int64())
+        parts = {"a": [pa.array(who), pa.array(a)], "b": [none(len(who)), pa.array(b)], "n": [pa.array(n), none(len(a))]}
+        return pa.table({c: pa.concat_arrays(p) for c, p in parts.items()})
+
+    return dealt.groupBy("label", "low", "high").applyInArrow(search, "a long, b long, n long")

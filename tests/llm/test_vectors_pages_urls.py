@@ -1,5 +1,6 @@
 """Vector search, vector near-duplicates, page text, quality and URL filters by brute force."""
 
+import os
 import random
 import zlib
 
@@ -137,6 +138,40 @@ def test_many_lists_lose_no_link(spark, monkeypatch, lists):
     assert got == {i: (int(near[i].sum()) - 1, int(root[i])) for i in range(len(x))}
 
 
+def test_links_over_many_blocks(spark, monkeypatch, tmp_path):
+    """Blocks on both sides; a vector is copied to as many tasks as its label has blocks, not lists."""
+    monkeypatch.setattr(pq, "BLOCK", 64)
+    monkeypatch.setattr(pq, "LARGEST", 64 * 80)
+    monkeypatch.setattr(pq, "PER_LIST", 5)
+    compare = pq.compare
+
+    def spied(index, q, x, threshold):
+        with open(f"{tmp_path}/{os.getpid()}-{id(q)}-{random.random()}", "w") as file:
+            file.write(str(len(q.x) + (len(x.x) if x else 0)))
+        return compare(index, q, x, threshold)
+
+    monkeypatch.setattr(pq, "compare", spied)
+    x = np.float32(paired_groups(600))
+    x[7] = 1000 * x[5]
+    labels = [1 if i % 6 else 2 for i in range(len(x))]
+    rows = [(i, v.tolist(), n) for i, (v, n) in enumerate(zip(x, labels, strict=True))]
+    rows += [(1000 + i, x[8].tolist(), 1) for i in range(50)] + [(2000, (-x[8]).tolist(), 1), (2001, x[8].tolist(), None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["key"]: (r["n_links"], r["component"]) for r in pq.near_duplicates(df).collect()}
+    v = np.array([r[1] for r in rows])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    label = np.array([r[2] or -i for i, r in enumerate(rows)])
+    near, keys = (v @ v.T >= 0.93) & (label[:, None] == label), np.array([r[0] for r in rows])
+    root = keys
+    for _ in range(60):
+        root = np.where(near, root[None, :], 10**6).min(1)
+    root[-1] = 2001
+    assert got == {int(k): (max(0, int(n) - 1), int(c)) for k, n, c in zip(keys, near.sum(1), root, strict=True)}
+    copies = sum(int(file.read_text()) for file in tmp_path.iterdir())
+    blocks = {n: -(-sum(r[2] == n for r in rows) // 80) for n in (1, 2)}
+    assert copies <= sum(blocks[r[2]] for r in rows if r[2])
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="ad">Buy this. Now.</div><!-- <p>x</p> -->
 <article><h1>A  title &amp; more</h1><p><b>First words<br>on two&nbsp;lines &#233; here, in a sentence.<p>Second one. It has

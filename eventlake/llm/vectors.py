@@ -1,34 +1,8 @@
-"""What the vector operators share: valid vectors, batches as matrices, bounded samples."""
+"""What the vector operators share."""
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from eventlake.llm.common import least_hashed
-
-
-def finite(vec: Column) -> Column:
-    """True for a vector that is there and holds neither NULL nor NaN nor an infinity."""
-    double = F.transform(vec, lambda x: x.cast("double"))
-    good = F.forall(double, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vec.isNotNull() & F.coalesce(good, F.lit(False))
-
-
-def matrix(column: pa.ChunkedArray | pa.Array, dim: int, dtype: type = np.float64) -> np.ndarray:
-    """A list column, all of one length, as rows of a matrix."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.astype(dtype).reshape(len(column), dim)
-
-
-def sample(rows: DataFrame, n: int, vec: str, key: str) -> list[list[float]]:
-    """At most ``n`` vectors, those whose keys have the least hashes: the same ones each time."""
-    least = least_hashed(rows, n, key).orderBy(F.xxhash64(key), key).limit(n)
-    return [r[vec] for r in least.select(vec).collect()]
 
 
 def farthest_first(x: np.ndarray, n: int) -> list[int]:
@@ -43,11 +17,3 @@ def farthest_first(x: np.ndarray, n: int) -> list[int]:
         chosen.append(int(near.argmax()))
         near = np.minimum(near, np.linalg.norm(x - x[chosen[-1]], axis=1))
     return chosen
-
-
-def distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Euclidean distances, as accurate as differences are."""
-    out = np.empty((len(x), len(centers)))
-    for i, center in enumerate(centers):
-        out[:, i] = np.linalg.norm(x - center, axis=1)
-    return out
